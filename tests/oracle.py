@@ -70,7 +70,7 @@ def main() -> int:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("oracle", "local[8]", **{"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import percentiles
+
 
 def flag(condition: Column) -> Column:
     """Condition as 0/1; an unknown condition counts as 0."""
@@ -138,17 +140,22 @@ def describe_long(df: DataFrame, columns: Sequence[str], quartiles: bool = True)
             )
         ).alias("s")
     ).select("s.*")
-    aggs = [
+    summary = stacked.groupBy("column_name").agg(
         F.count("v").alias("cnt"),
         F.avg("v").alias("mean"),
         F.stddev("v").alias("stddev"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-    ]
-    if quartiles:
-        q = [0.25, 0.5, 0.75]
-        aggs += [F.percentile("v", p).alias(f"p{int(p * 100)}") for p in q]
-    return stacked.groupBy("column_name").agg(*aggs)
+    )
+    if not quartiles:
+        return summary
+    points = percentiles(stacked, "v", [0.25, 0.5, 0.75], ["column_name"])
+    names = ["p25", "p50", "p75"]
+    return summary.join(
+        points.select("column_name", *[F.col("percentiles")[i].alias(n) for i, n in enumerate(names)]),
+        "column_name",
+        "left",
+    )
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

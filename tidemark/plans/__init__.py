@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemark.plans.registry import REGISTRY, BoundQuery
 
-FAMILIES = ("relational", "scalars")
+FAMILIES = ("relational", "scalars", "series", "sequences", "readiness")
 
 
 def catalog() -> dict[str, BoundQuery]:
