@@ -270,7 +270,7 @@ def multi_source_append(spark, sf):
         sheet, F.col("c_custkey").alias("at"), F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")
     )
     sheets = customers.select(sheet).distinct()
-    title = sheets.select("sheet", F.explode(F.sequence(F.lit(-6), F.lit(-1))).cast("long").alias("at"), F.lit("title,block").alias("value"))
+    title = sheets.select("sheet", F.explode(F.sequence(F.lit(-6).cast("long"), F.lit(-1).cast("long"))).alias("at"), F.lit("title,block").alias("value"))
     blank = sheets.select("sheet", F.lit(2**62).alias("at"), F.lit(",").alias("value"))
     ordered = data.unionByName(title).unionByName(blank).repartition("sheet").sortWithinPartitions("sheet", "at")
     ordered.select("sheet", "value").write.partitionBy("sheet").text(folder)
