@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemark.plans.registry import REGISTRY, BoundQuery
 
-FAMILIES = ("relational", "scalars", "series", "sequences", "readiness", "sources", "clustering")
+FAMILIES = ("relational", "scalars", "series", "sequences", "readiness", "sources", "clustering", "models")
 
 
 def catalog() -> dict[str, BoundQuery]:
