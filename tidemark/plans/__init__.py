@@ -6,7 +6,17 @@ from importlib import import_module
 
 from tidemark.plans.registry import REGISTRY, BoundQuery
 
-FAMILIES = ("relational", "scalars", "series", "sequences", "readiness", "sources", "clustering", "models")
+FAMILIES = (
+    "relational",
+    "scalars",
+    "series",
+    "sequences",
+    "readiness",
+    "sources",
+    "clustering",
+    "models",
+    "streams",
+)
 
 
 def catalog() -> dict[str, BoundQuery]:
