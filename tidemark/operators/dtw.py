@@ -11,7 +11,7 @@ Distances follow the usual definition: squared local cost, square root of the su
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -116,10 +116,29 @@ def pick_landmarks(distinct: DataFrame, count: int) -> list[tuple[int, list[floa
     return [(r["seq_id"], list(r["values"])) for r in rows]
 
 
+def landmark_table(landmarks: Sequence[tuple[int, Sequence[float]]], radius: int) -> np.ndarray:
+    """Distances among the landmarks themselves."""
+    values = [np.asarray(v, dtype=float) for _, v in landmarks]
+    table = np.zeros((len(values), len(values)))
+    for i, mark in enumerate(values):
+        for n in {len(v) for v in values}:
+            at = [j for j, v in enumerate(values) if len(v) == n]
+            block = np.stack([values[j] for j in at])
+            table[i, at] = dtw_rows(block, np.broadcast_to(mark, (len(at), len(mark))), radius)
+    return table
+
+
 def distances_to_landmarks(
-    sequences: DataFrame, landmarks: Sequence[tuple[int, Sequence[float]]], radius: int = 3, keep: Sequence[str] = ("seq_id",)
+    sequences: DataFrame,
+    landmarks: Sequence[tuple[int, Sequence[float]]],
+    radius: int = 3,
+    keep: Sequence[str] = ("seq_id",),
+    finish: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
-    """(keep, values, distances): distance of each sequence to every landmark, in their order."""
+    """(keep, values, distances): distance of each sequence to every landmark, in their order.
+
+    ``finish`` turns a batch's distance matrix into the rows to keep instead.
+    """
     marks = [np.asarray(values, dtype=float) for _, values in landmarks]
     source = sequences.select(*keep, "values")
 
@@ -132,7 +151,7 @@ def distances_to_landmarks(
                 block = np.stack(batch["values"].iloc[at].to_list())
                 for k, mark in enumerate(marks):
                     out[at, k] = dtw_rows(block, np.broadcast_to(mark, (len(at), len(mark))), radius)
-            yield batch.assign(distances=list(out))
+            yield batch.assign(distances=list(finish(out) if finish else out))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInPandas(measure, f"{kinds}, distances array<double>")

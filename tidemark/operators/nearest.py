@@ -18,35 +18,46 @@ def neighbours(
     ``candidates`` has one row per (key, value) with a ``payload`` struct. Targets are reduced
     to distinct values first. Values are then cut into slices: the search runs inside each
     slice, and slices hand their edge candidates on through a table with one row per slice.
-    A key that holds most of the data is so spread over many windows.
+    A key that holds most of the data is so spread over many windows. Looking up is a running
+    window in descending order, because a frame that reaches forward to the end costs the
+    square of its rows.
     """
-    marked = targets.select(key, value).distinct().withColumn("is_target", F.lit(True))
-    points = (
-        marked.unionByName(candidates.select(key, value, payload), allowMissingColumns=True)
-        .groupBy(key, value)
-        .agg(F.max("is_target").alias("is_target"), F.max(payload).alias(payload))
-    )
-    span = points.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    step = F.greatest((span.getField("hi") - span.getField("lo")) / F.lit(SLICES), F.lit(1e-9))
-    sliced = points.withColumn("slice", F.floor((F.col(value) - span.getField("lo")) / step)).withColumn(
-        "cand", F.when(F.col(payload).isNotNull(), F.struct(F.col(value).alias("at"), F.col(payload).alias("row")))
-    )
+    wanted = targets.select(key, value).distinct()
+    cand = F.struct(F.col(value).alias("at"), F.col(payload).alias("row")).alias("cand")
+    offered = candidates.select(key, value, cand)
+    both = wanted.select(value).unionByName(offered.select(value))
+    span = both.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+
+    def sliced(df: DataFrame) -> DataFrame:
+        step = F.greatest((F.col("span.hi") - F.col("span.lo")) / F.lit(SLICES), F.lit(1e-9))
+        return df.withColumn("span", span).withColumn("slice", F.floor((F.col(value) - F.col("span.lo")) / step)).drop("span")
 
-    edges = sliced.groupBy(key, "slice").agg(F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
-    along = Window.partitionBy(key).orderBy("slice")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    after = along.rowsBetween(1, Window.unboundedFollowing)
+    wanted, offered = sliced(wanted), sliced(offered)
+    per_slice = offered.groupBy(key, "slice").agg(F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
+    edges = wanted.select(key, "slice").distinct().join(per_slice, [key, "slice"], "full")
+    along = Window.partitionBy(key)
+    before = along.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    after = along.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         key,
         "slice",
         F.last("last_cand", ignorenulls=True).over(before).alias("carry_below"),
-        F.first("first_cand", ignorenulls=True).over(after).alias("carry_above"),
+        F.last("first_cand", ignorenulls=True).over(after).alias("carry_above"),
     )
 
-    inside = Window.partitionBy(key, "slice").orderBy(value)
-    below = F.last("cand", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    above = F.first("cand", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
-    local = sliced.withColumn("below", below).withColumn("above", above).where("is_target")
+    points = wanted.withColumn("is_target", F.lit(True)).unionByName(offered, allowMissingColumns=True)
+    inside = Window.partitionBy(key, "slice")
+    reach = (Window.unboundedPreceding, Window.currentRow)
+    up = inside.orderBy(value).rangeBetween(*reach)
+    down = inside.orderBy(F.desc(value)).rangeBetween(*reach)
+    local = points.select(
+        key,
+        value,
+        "slice",
+        "is_target",
+        F.last("cand", ignorenulls=True).over(up).alias("below"),
+        F.last("cand", ignorenulls=True).over(down).alias("above"),
+    ).where("is_target")
     return local.join(carried, [key, "slice"]).select(
         key,
         value,

@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 10_000  # value ranges counted per key; only those holding a wanted rank are sorted
+RANGES = 10_000  # equal-width ranges over all values
+STEPS_PER_OCTAVE = 1024  # finer ranges for keys whose values are much smaller than the largest
 
 
-def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add one row of statistics per key; without keys as a scalar subquery."""
-    if keys:
-        return df.join(stats, list(keys))
-    one = stats.select(F.struct(*stats.columns)).scalar()
-    fields = df.withColumn("_one", one)
-    return fields.select("*", "_one.*").drop("_one")
+def _value_range(v: Column, span: Column) -> Column:
+    """An ordered range id: equal width over the whole table, then by magnitude inside it."""
+    width = span.getField("hi") - span.getField("lo")
+    wide = F.coalesce(F.floor(F.try_divide(v - span.getField("lo"), width) * RANGES), F.lit(0))
+    sign = F.signum(v)
+    fine = sign * F.floor(F.coalesce(F.log2(F.abs(v)), F.lit(0.0)) * STEPS_PER_OCTAVE)
+    return F.struct(wide.alias("wide"), sign.alias("sign"), fine.alias("fine"))
 
 
 def _rank_at(p: float) -> tuple[Column, Column, Column]:
@@ -30,29 +31,29 @@ def percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles, one array column ``percentiles`` per key.
 
-    Equal values are counted together first, then counts are added up per value range. Only
-    the ranges that hold a wanted rank are ordered, each in a window of its own. The built-in
-    exact aggregate would keep all distinct values of a key in one buffer.
+    Equal values are counted together first, then counts are added up per value range; a key
+    has some ten thousand ranges at most. Only the few that hold a wanted rank are joined back
+    and ordered, each in a window of its own. The built-in exact aggregate would keep all
+    distinct values of a key in one buffer.
     """
     keys = list(keys)
     v = F.col(value).cast("double").alias("v")
     counts = df.select(*keys, v).where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count("*").alias("n"))
-    stats = counts.groupBy(*keys).agg(
-        F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    span = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    placed = counts.withColumn("span", span).withColumn("range", _value_range(F.col("v"), F.col("span"))).drop("span")
+
+    per_range = placed.groupBy(*keys, "range").agg(F.sum("n").alias("bn"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_range.withColumn("total", F.sum("bn").over(whole)).withColumn(
+        "start", F.coalesce(F.sum("bn").over(before), F.lit(0))
     )
-    share = F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo"))
-    bucket = F.coalesce(F.floor(share * RANGES), F.lit(0))
     ranks = F.array_distinct(F.array(*[r for p in probabilities for r in _rank_at(p)[:2]]))
-    placed = _attach(counts, stats, keys).withColumn("bucket", bucket).withColumn("ranks", ranks)
-
-    per_range = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("bn"), F.first("ranks").alias("ranks"))
-    running = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_range.withColumn("start", F.coalesce(F.sum("bn").over(running), F.lit(0)))
-    inside = F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
-    wanted = starts.where(inside).select(*keys, "bucket", "start")
+    inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
+    wanted = starts.withColumn("ranks", inside).where(F.size("ranks") > 0)
 
-    within = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed.join(wanted, [*keys, "bucket"]).withColumn(
+    within = Window.partitionBy(*keys, "range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = placed.join(wanted.select(*keys, "range", "start", "total", "ranks"), [*keys, "range"]).withColumn(
         "first_rank", F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0))
     )
     hits = F.filter("ranks", lambda r: (r >= F.col("first_rank")) & (r < F.col("first_rank") + F.col("n")))

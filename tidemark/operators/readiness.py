@@ -28,19 +28,16 @@ def lowest_reachable_status(rows: DataFrame, node: str, depends_on: str) -> Data
     changes. The loop ends when nothing falls any more; cycles are no obstacle. Every round is
     written to the shared folder.
     """
-    edges = rows.where(F.col(depends_on).isNotNull()).select(node, depends_on).distinct()
-    current = cut_lineage(rows.groupBy(node).agg(F.min("status").alias("status")))
-    fallen = current
-    while True:
-        heard = fallen.select(F.col(node).alias(depends_on), F.col("status").alias("heard"))
+    edges = cut_lineage(rows.where(F.col(depends_on).isNotNull()).select(node, depends_on).distinct())
+    lowest = rows.groupBy(node).agg(F.min("status").alias("status"))
+    current = cut_lineage(lowest.withColumn("fell", F.lit(True)))
+    while not current.where("fell").isEmpty():
+        heard = current.where("fell").select(F.col(node).alias(depends_on), F.col("status").alias("heard"))
         offered = edges.join(heard, depends_on).groupBy(node).agg(F.min("heard").alias("heard"))
-        lower = current.join(offered, node).where(F.col("heard") < F.col("status"))
-        fallen = cut_lineage(lower.select(node, F.col("heard").alias("status")))
-        if fallen.isEmpty():
-            return current
-        update = fallen.withColumnRenamed("status", "fallen")
-        joined = current.join(update, node, "left")
-        current = cut_lineage(joined.select(node, F.coalesce("fallen", "status").alias("status")))
+        fell = F.coalesce(F.col("heard") < F.col("status"), F.lit(False))
+        joined = current.drop("fell").join(offered, node, "left")
+        current = cut_lineage(joined.select(node, F.least("status", "heard").alias("status"), fell.alias("fell")))
+    return current.drop("fell")
 
 
 def last_dependency_status(rows: DataFrame, node: str, depends_on: str) -> DataFrame:

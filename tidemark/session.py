@@ -48,9 +48,14 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that a lost executor loses nothing."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    A lost executor then loses nothing, and the planner knows the real size of the result, so
+    that a small one is broadcast and a large one is not.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
