@@ -134,7 +134,7 @@ def element_texts(html: Column, tag: str) -> Column:
 def class_texts(html: Column, name: str) -> Column:
     """Text up to the next tag of every element that has the class ``name``."""
     pattern = rf'(?is)<[a-z][a-z0-9]*\s[^>]*class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>([^<]*)'
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda x: F.trim(x))
 
 
 def html_table_rows(
