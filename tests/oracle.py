@@ -49,7 +49,7 @@ def schema_of(arrow) -> dict[str, str]:
 def compare(spark, con, run, sql: str, folder: str) -> str | None:
     """None when names, types, row count and values agree, else what differs."""
     ours = run(spark, folder).toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     if schema_of(ours) != schema_of(theirs):
         a, b = schema_of(ours), schema_of(theirs)
         diff = {k: (a.get(k), b.get(k)) for k in sorted(a.keys() | b.keys()) if a.get(k) != b.get(k)}

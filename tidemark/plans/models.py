@@ -167,7 +167,7 @@ def batch_metrics(spark, sf):
 
 @query(
     "k14_drift_trigger",
-    """WITH m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(avg(value) / 100, 6) AS r2, round(stddev_samp(value), 6) AS rmse FROM events GROUP BY 1, 2),
+    """WITH m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(avg(value) / 100, 11) AS r2, round(stddev_samp(value), 6) AS rmse FROM events GROUP BY 1, 2),
             w AS (SELECT *, max(r2) OVER (PARTITION BY version ORDER BY runtime) AS ref_r2, min(rmse) OVER (PARTITION BY version ORDER BY runtime) AS ref_rmse,
                   row_number() OVER (PARTITION BY version ORDER BY runtime DESC) AS rn FROM m)
        SELECT version, runtime, r2, rmse, ref_r2, ref_rmse, CAST(ref_r2 > r2 * 1.05 OR rmse > ref_rmse * 1.2 AS INTEGER) AS retrain,
@@ -177,7 +177,7 @@ def drift_trigger(spark, sf):
     daily = (
         table(spark, sf, "events")
         .groupBy(F.col("event_type").alias("version"), F.to_date("ts").alias("runtime"))
-        .agg(F.round(F.avg("value") / 100, 6).alias("r2"), F.round(F.stddev("value"), 6).alias("rmse"))
+        .agg(F.round(F.avg("value") / 100, 11).alias("r2"), F.round(F.stddev("value"), 6).alias("rmse"))
     )
     return models.drift_flags(daily)
 

@@ -284,7 +284,7 @@ def chronological_split(spark, sf):
 
 @query(
     "e11_running_best",
-    """WITH m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(avg(value), 4) AS r2, round(max(value), 4) AS rmse FROM events GROUP BY 1, 2)
+    """WITH m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(avg(value), 9) AS r2, max(value) AS rmse FROM events GROUP BY 1, 2)
        SELECT version, runtime, r2, rmse, max(r2) OVER w AS max_r2, min(rmse) OVER w AS min_rmse FROM m
        WINDOW w AS (PARTITION BY version ORDER BY runtime)""",
 )
@@ -292,7 +292,7 @@ def running_best(spark, sf):
     daily = (
         table(spark, sf, "events")
         .groupBy(F.col("event_type").alias("version"), F.to_date("ts").alias("runtime"))
-        .agg(F.round(F.avg("value"), 4).alias("r2"), F.round(F.max("value"), 4).alias("rmse"))
+        .agg(F.round(F.avg("value"), 9).alias("r2"), F.max("value").alias("rmse"))
     )
     return ts.running_best(daily, ["version"], "runtime", "r2", "rmse")
 

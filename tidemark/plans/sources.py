@@ -101,11 +101,11 @@ def upsert_on_key(spark, sf):
 
 def daily_prices(spark, sf):
     """Average value per instrument (event type) and day."""
-    daily = ts.daily_series(table(spark, sf, "events"), "ts", ["event_type"], price=F.round(F.avg("value"), 4))
+    daily = ts.daily_series(table(spark, sf, "events"), "ts", ["event_type"], price=F.round(F.avg("value"), 9))
     return daily.withColumnRenamed("ds", "base_date")
 
 
-DAILY_PRICES = "SELECT event_type, CAST(ts AS DATE) AS base_date, round(avg(value), 4) AS price FROM events GROUP BY 1, 2"
+DAILY_PRICES = "SELECT event_type, CAST(ts AS DATE) AS base_date, round(avg(value), 9) AS price FROM events GROUP BY 1, 2"
 
 
 @query("a11_append_if_new_day", f"SELECT * FROM ({DAILY_PRICES}) WHERE base_date >= DATE '2024-01-20'")
@@ -211,7 +211,7 @@ def warehouse_query(spark, sf):
 def metric_documents(spark, sf):
     """One nested validation document per user from the user's event values."""
     users = table(spark, sf, "events").groupBy("user_id").agg(
-        F.round(F.avg("value"), 2).alias("a"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        F.round(F.avg("value"), 9).alias("a"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
     promote = (F.col("a") > 50).cast("int")
     day = F.lit("2024-01-31")
@@ -223,7 +223,7 @@ def metric_documents(spark, sf):
     "a19_json_doc_sink",
     """SELECT user_id, CAST(a > 50 AS BIGINT) AS promotion_flag, a AS new_r2,
               CASE WHEN a > 50 THEN 'new model is better' ELSE 'old model is kept' END AS decision, '2024-01-31' AS run_at
-       FROM (SELECT user_id, round(avg(value), 2) AS a FROM events GROUP BY 1)""",
+       FROM (SELECT user_id, round(avg(value), 9) AS a FROM events GROUP BY 1)""",
 )
 def json_doc_sink(spark, sf):
     folder = scratch(spark, "json")

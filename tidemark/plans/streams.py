@@ -60,7 +60,7 @@ def stream_score_metrics(spark, sf):
     return spark.read.parquet(f"{path}/metrics").select("version", "r2", "rmse", "observations")
 
 
-CLOSED = """SELECT date_trunc('hour', ts) AS runtime, event_type AS version, round(avg(value) / 100, 6) AS r2, round(stddev_pop(value), 6) AS rmse,
+CLOSED = """SELECT date_trunc('hour', ts) AS runtime, event_type AS version, round(avg(value) / 100, 11) AS r2, round(stddev_pop(value), 6) AS rmse,
     count(*) AS observations FROM events GROUP BY 1, 2
     HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR"""
 
@@ -70,7 +70,7 @@ def hourly(spark, sf):
         event_stream(spark, sf),
         "ts",
         F.col("event_type"),
-        r2=F.round(F.avg("value") / 100, 6),
+        r2=F.round(F.avg("value") / 100, 11),
         rmse=F.round(F.stddev_pop("value"), 6),
         observations=F.count("*"),
     )
