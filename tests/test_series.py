@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import forecasting as fc
 from tidemark.operators import models, sequences, series
-from tidemark.operators.quantiles import percentiles
+from tidemark.operators.quantiles import approximate_percentiles, percentiles
 
 
 def daily(spark, values, key="s"):
@@ -86,6 +86,12 @@ def test_percentiles_with_a_hot_value(spark):
     np.testing.assert_allclose(got, np.percentile(values, [5, 50, 95]))
 
 
+def test_approximate_percentiles_are_near(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    for r in approximate_percentiles(df, "v", [0.25, 0.5], ["k"]).collect():
+        np.testing.assert_allclose(r.percentiles, [250, 500], atol=3)
+
+
 def test_working_days(spark):
     days = spark.createDataFrame([(date(2024, 1, 5),), (date(2024, 1, 6),), (date(2024, 1, 8),)], "d date")
     holidays = spark.createDataFrame([(date(2024, 1, 8),)], "holiday date")

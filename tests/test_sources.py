@@ -170,3 +170,24 @@ def test_late_rows_are_dropped_from_closed_hours(spark, tmp_path):
     assert run() == [(datetime(2024, 1, 1, 10), 1)]
     messages(spark, source, [[(1, early, 5.0)]])
     assert run() == [(datetime(2024, 1, 1, 10), 1)]
+
+
+def test_alerts_carry_the_best_values_over_batches(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    batches = [
+        [("m", datetime(2024, 1, 1, 1), 0.95, 100.0), ("n", datetime(2024, 1, 1, 1), 0.5, 10.0)],
+        [("m", datetime(2024, 1, 1, 2), 0.90, 100.0)],
+        [("n", datetime(2024, 1, 1, 3), 0.5, 11.0)],
+    ]
+    for data in batches:
+        part = spark.createDataFrame(data, "version string, runtime timestamp_ntz, r2 double, rmse double")
+        part.coalesce(1).write.mode("append").parquet(str(source))
+    stream = jobs.message_files(spark, str(source), part.schema, files_per_batch=1)
+    jobs.finish(jobs.drift_alerts(stream, out, str(tmp_path / "c")), 120)
+    log = spark.read.parquet(f"{out}/log")
+    assert rows(log, "version", "runtime", "ref_r2", "retrain") == [
+        ("m", datetime(2024, 1, 1, 1), 0.95, 0), ("m", datetime(2024, 1, 1, 2), 0.95, 1),
+        ("n", datetime(2024, 1, 1, 1), 0.5, 0), ("n", datetime(2024, 1, 1, 3), 0.5, 0),
+    ]
+    published = spark.read.text(f"{out}/published").select(F.from_json("value", "version string, retrain int").alias("m"))
+    assert rows(published.select("m.*")) == [("m", 1)]

@@ -51,6 +51,16 @@ def text_to_local_time(
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), read)
 
 
+def on_days(ts: Column, first: Column, last: Column | None = None) -> Column:
+    """``ts`` falls on the days ``first`` to ``last`` (default: ``first`` alone).
+
+    A range on the bare column, which reaches the file scan where a test of ``to_date(ts)``
+    would not.
+    """
+    end = F.date_add(F.to_date(first if last is None else last), 1)
+    return (ts >= F.to_date(first)) & (ts < end)
+
+
 def is_weekend(day: Column) -> Column:
     return F.dayofweek(day).isin(1, 7)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import minutes_until, on_days
+
 
 def most_frequent_code(df: DataFrame, key: str, code: str) -> DataFrame:
     """(key, code, codes): the most frequent code of each key, the smallest one on a tie."""
@@ -42,9 +44,7 @@ def unresolved_jobs(
     run is today and at least ``wait_minutes`` away is left to its schedule; ``minute_field``
     compares the minute field of the waiting time instead of its total.
     """
-    from tidemark.functions.scalars import minutes_until
-
-    today = F.to_date("log_date") == F.to_date(now)
+    today = on_days(F.col("log_date"), now)
     failed = F.col("status").isin("STOPPED", "FAILED")
     succeeded = F.col("status") == "SUCCEEDED"
     last = log.where(today & (failed | succeeded)).groupBy(job).agg(
@@ -57,7 +57,7 @@ def unresolved_jobs(
     )
     wait = minutes_until(F.col("next_run_date"), now, field_only=minute_field)
     waiting = scheduled.where(
-        (F.to_date("next_run_date") == F.to_date(now)) & (F.col("next_run_date") > now) & (wait >= wait_minutes)
+        on_days(F.col("next_run_date"), now) & (F.col("next_run_date") > now) & (wait >= wait_minutes)
     )
     return (
         open_jobs.select(job)

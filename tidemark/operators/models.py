@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import latest_per_key, regression_metrics, running_best
+from tidemark.operators.series import regression_metrics
 
 # fixed values: monitoring and promotion rules
 R2_DROP = 1.05
@@ -73,14 +73,36 @@ def batch_metrics(scored: DataFrame, keys: Sequence[str], actual: str, predicted
     return out.select(*keys, "r2", "rmse", "observations")
 
 
-def drift_flags(metrics: DataFrame, version: str = "version", runtime: str = "runtime") -> DataFrame:
-    """Latest metrics of each version against its best so far: retrain 0/1 and a message."""
-    judged = running_best(metrics, [version], runtime, "r2", "rmse")
-    latest = latest_per_key(judged, [version], [runtime])
-    retrain = (F.col("max_r2") > F.col("r2") * R2_DROP) | (F.col("rmse") > F.col("min_rmse") * RMSE_RISE)
-    flagged = latest.withColumn("retrain", F.coalesce(retrain, F.lit(False)).cast("int"))
+def best_and_latest(metrics: DataFrame, version: str = "version", runtime: str = "runtime") -> DataFrame:
+    """(version, ref_r2, ref_rmse, latest): best values ever and the last metrics row, one aggregate.
+
+    At the latest row the running best is the best of all rows, so no window is needed.
+    """
+    row = F.max(F.struct(runtime, *[c for c in metrics.columns if c not in (version, runtime)]))
+    return metrics.groupBy(version).agg(
+        F.max("r2").alias("ref_r2"), F.min("rmse").alias("ref_rmse"), row.alias("latest")
+    )
+
+
+def merge_best(parts: DataFrame, version: str = "version") -> DataFrame:
+    """Combine ``best_and_latest`` rows of several parts of the history."""
+    return parts.groupBy(version).agg(
+        F.max("ref_r2").alias("ref_r2"), F.min("ref_rmse").alias("ref_rmse"), F.max("latest").alias("latest")
+    )
+
+
+def judge(best: DataFrame, version: str = "version") -> DataFrame:
+    """Latest metrics against the best: retrain 0/1 and a message."""
+    flat = best.select(version, "ref_r2", "ref_rmse", "latest.*")
+    retrain = (F.col("ref_r2") > F.col("r2") * R2_DROP) | (F.col("rmse") > F.col("ref_rmse") * RMSE_RISE)
+    flagged = flat.withColumn("retrain", F.coalesce(retrain, F.lit(False)).cast("int"))
     message = F.when(F.col("retrain") == 1, "Need retrain").otherwise("No need retrain")
-    return flagged.withColumnsRenamed({"max_r2": "ref_r2", "min_rmse": "ref_rmse"}).withColumn("message", message)
+    return flagged.withColumn("message", message)
+
+
+def drift_flags(metrics: DataFrame, version: str = "version", runtime: str = "runtime") -> DataFrame:
+    """Latest metrics of each version against its best so far."""
+    return judge(best_and_latest(metrics, version, runtime), version)
 
 
 def compare_models(new: PipelineModel, old: PipelineModel, holdout: DataFrame, target: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import on_days
+
 
 def null_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Share of null values per column, in one pass."""
@@ -80,10 +82,10 @@ def snapshot_growth(
     """
     name = F.col(table_name).alias("source_table")
     day = F.to_date(ts)
-    rows = df.select(name, day.alias("d"), key.cast("string").alias("k"))
-    last = F.lit(reporting_day) if reporting_day is not None else df.agg(F.max(day)).scalar()
+    wanted = df
     if reporting_day is not None:
-        rows = rows.where(F.col("d").between(F.date_sub(reporting_day, 1), reporting_day))
+        wanted = df.where(on_days(F.col(ts), F.date_sub(reporting_day, 1), reporting_day))
+    rows = wanted.select(name, day.alias("d"), key.cast("string").alias("k"))
     counted = rows.where(F.col("k").isNotNull()).groupBy("source_table", "d", "k").agg(F.count("*").alias("n"))
     sides = counted.select(
         "source_table",
@@ -106,8 +108,8 @@ def snapshot_growth(
         F.sum(F.greatest(cur - 1, F.lit(0).cast("long"))).alias("dup_cnt"),
     )
     if reporting_day is not None:
-        return per_day.where(F.col("day") == last)
-    return per_day.where(F.col("day") <= last)
+        return per_day.where(F.col("day") == reporting_day)
+    return per_day.where(F.col("day") <= df.agg(F.max(day)).scalar())
 
 
 def snapshot_status(growth: DataFrame, tolerances: Mapping[str, float] | None = None) -> DataFrame:

@@ -26,6 +26,14 @@ def _rank_at(p: float) -> tuple[Column, Column, Column]:
     return low, F.least(low + 1, F.col("total") - 1), position - low
 
 
+def approximate_percentiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10_000
+) -> DataFrame:
+    """Percentiles within 1 / ``accuracy`` of the rank, from mergeable sketches: one small shuffle."""
+    found = F.percentile_approx(F.col(value).cast("double"), list(probabilities), accuracy)
+    return df.groupBy(*keys).agg(found.alias("percentiles"))
+
+
 def percentiles(
     df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -97,15 +97,17 @@ def pivot_sum(
 
 
 def crosstab_totals(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
-    """Sums by cell, row, column and overall in one pass, total lines labelled ``Total``.
+    """Sums by cell, row, column and overall, total lines labelled ``Total``.
 
+    Rows are summed to cells first, so that only cells are expanded to the four levels.
     ``level`` tells cells (0), row totals (1), column totals (2) and the grand total (3) apart,
     so that a data value called "Total" cannot be taken for a total line.
     """
     total = F.lit("Total")
+    cells = df.groupBy(rows, columns).agg(F.sum(value).alias("cell"))
     return (
-        df.cube(rows, columns)
-        .agg(F.sum(value).alias("amount"), F.grouping_id().cast("int").alias("level"))
+        cells.cube(rows, columns)
+        .agg(F.sum("cell").alias("amount"), F.grouping_id().cast("int").alias("level"))
         .withColumn(rows, F.when(F.col("level") >= 2, total).otherwise(F.col(rows)))
         .withColumn(columns, F.when(F.col("level") % 2 == 1, total).otherwise(F.col(columns)))
     )

@@ -90,7 +90,7 @@ def alerts(spark, sf):
     stream = hourly(spark, sf)
     jobs.finish(jobs.append_stream(stream, metrics, scratch(spark, "checkpoint")), WAIT)
     written = jobs.message_files(spark, metrics, stream.schema)
-    jobs.finish(jobs.drift_alerts(written, metrics, path, scratch(spark, "checkpoint")), WAIT)
+    jobs.finish(jobs.drift_alerts(written, path, scratch(spark, "checkpoint")), WAIT)
     return path
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.models import batch_metrics, drift_flags
+from tidemark.operators.models import batch_metrics, best_and_latest, judge, merge_best
 
 # fixed values: how late rows may come and the length of a monitoring window
 LATE = "2 hours"
@@ -97,20 +97,24 @@ def windowed_metrics(messages: DataFrame, ts: str, version: Column, **measures:
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("runtime"), "version", *measures)
 
 
-def drift_alerts(metrics_stream: DataFrame, metrics_path: str, path: str, checkpoint: str) -> StreamingQuery:
-    """After each batch of new metrics judge every version's latest ones against its best.
+def drift_alerts(metrics_stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """After each batch of new metrics judge the versions in it against their best so far.
 
-    All judgements are logged; only those that call for retraining are published, as JSON.
+    All judgements are logged; only those that call for retraining are published, as JSON. The
+    best values are carried from batch to batch, so a batch costs its own rows and one row per
+    version, not the whole history.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
+        best = best_and_latest(batch)
+        if number > 0:
+            best = merge_best(best.unionByName(spark.read.schema(best.schema).parquet(_batch_folder(path, "best", number - 1))))
+        state, log = _batch_folder(path, "best", number), _batch_folder(path, "log", number)
+        best.write.mode("overwrite").parquet(state)
         touched = batch.select("version").distinct()
-        history = spark.read.schema(batch.schema).parquet(metrics_path).join(touched, "version", "left_semi")
-        log = _batch_folder(path, "log", number)
-        drift_flags(history).write.mode("overwrite").parquet(log)
+        current = spark.read.schema(best.schema).parquet(state).join(touched, "version", "left_semi")
+        judge(current).write.mode("overwrite").parquet(log)
         publish(spark.read.parquet(log), _batch_folder(path, "published", number))
 
     return run_batches(metrics_stream, handle, checkpoint)
