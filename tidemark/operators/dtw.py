@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 128
-CANDIDATES_AT_ONCE = 65_536
+CANDIDATES_AT_ONCE = 8_192  # one row of the distance table then fits the processor cache
 UNBOUNDED = 1e12
 
 
@@ -38,14 +38,20 @@ def dtw_rows(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
         a, b = b, a
     x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
     n, m, pairs = x.shape[0], y.shape[0], x.shape[1]
-    above = np.full((m + 1, pairs), np.inf)
+    above, row, cost = np.full((m + 1, pairs), np.inf), np.full((m + 1, pairs), np.inf), np.empty(pairs)
     above[0] = 0.0
     for i, columns in enumerate(_band(n, m, radius)):
-        row = np.full((m + 1, pairs), np.inf)
+        # the two rows are reused, so what lies beside the band is made unreachable
+        row[columns.start] = np.inf
         for j in columns:
-            best = np.minimum(np.minimum(above[j], above[j + 1]), row[j])
-            row[j + 1] = (x[i] - y[j]) ** 2 + best
-        above = row
+            cell = row[j + 1]
+            np.minimum(above[j], above[j + 1], out=cell)
+            np.minimum(cell, row[j], out=cell)
+            np.subtract(x[i], y[j], out=cost)
+            np.multiply(cost, cost, out=cost)
+            cell += cost
+        row[columns.stop + 1 :] = np.inf
+        above, row = row, above
     return np.sqrt(above[m])
 
 

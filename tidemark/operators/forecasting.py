@@ -13,10 +13,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import forecast_metrics, rolling_mean, by_day
+from tidemark.operators.series import by_day, forecast_metrics, rolling_mean
 
 
 @dataclass(frozen=True)
@@ -164,8 +164,6 @@ def window_backtest(
     known = smooth.where(F.col("y").isNotNull())
     series = [*keys, "window_days"]
     ranks = by_day(series)
-    from pyspark.sql import Window
-
     total = F.count("*").over(Window.partitionBy(*series))
     frame = known.withColumn("is_train", F.row_number().over(ranks) <= F.floor(total * share))
     result = forecast(frame, ForecastModel(keys=tuple(series), **settings))

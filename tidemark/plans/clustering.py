@@ -42,13 +42,35 @@ def dtw_pairs_radius_0(spark, sf):
     return dtw.pairs_within(user_sequences(spark, sf), 500.0, 0).withColumn("dist", F.round("dist", 6))
 
 
-@query("j4_dtw_by_category")
-def dtw_by_category(spark, sf):
+def category_sequences(spark, sf):
+    """Distinct arrays of the users' latest month for three event types and the total, cents rounded."""
     wide = seq.daily_sequences_by_category(
         table(spark, sf, "events"), ["user_id"], "ts", "value", "event_type", ["purchase", "signup", "view"]
     )
-    distinct = cut_lineage(dtw.distinct_sequences(wide, "user_id", "amounts", ["category"]))
-    return dtw.pairs_within(distinct, 150.0, RADIUS, ["category"])
+    cents = wide.withColumn("amounts", F.transform("amounts", lambda x: F.round(x, 2)))
+    return cut_lineage(dtw.distinct_sequences(cents, "user_id", "amounts", ["category"]))
+
+
+@query("j4_dtw_by_category")
+def dtw_by_category(spark, sf):
+    return dtw.pairs_within(category_sequences(spark, sf), 150.0, RADIUS, ["category"])
+
+
+@query(
+    "j4_by_category_radius_0",
+    """WITH base AS (SELECT user_id, event_type, ts, value, max(date_trunc('month', ts)) OVER (PARTITION BY user_id) AS last FROM events),
+         latest AS (SELECT user_id, event_type, day(ts) AS day, value FROM base WHERE date_trunc('month', ts) = last),
+         sums AS (SELECT user_id, event_type AS category, day, sum(value) AS v FROM latest WHERE event_type IN ('purchase', 'signup', 'view') GROUP BY 1, 2, 3
+                  UNION ALL SELECT user_id, 'Total', day, sum(value) FROM latest GROUP BY 1, 3),
+         grid AS (SELECT user_id, category, i AS day FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(['purchase', 'signup', 'view', 'Total']) AS category), range(1, 32) r(i)),
+         seqs AS (SELECT user_id, category, list(round(coalesce(v, 0), 2) ORDER BY day) AS l FROM grid LEFT JOIN sums USING (user_id, category, day) GROUP BY 1, 2),
+         firsts AS (SELECT category, l, min(user_id) AS id FROM seqs GROUP BY 1, 2)
+       SELECT a.category, a.id AS i, b.id AS j, round(list_distance(a.l, b.l), 6) AS dist FROM firsts a JOIN firsts b ON a.category = b.category AND a.id < b.id
+       WHERE list_distance(a.l, b.l) <= 250""",
+)
+def by_category_radius_0(spark, sf):
+    found = dtw.pairs_within(category_sequences(spark, sf), 250.0, 0, ["category"])
+    return found.withColumn("dist", F.round("dist", 6))
 
 
 @query("j5_dtw_topk")
@@ -114,6 +136,21 @@ def density_cut(spark, sf):
     return clustering.density_cut(nodes, dtw.pairs_within(nodes, 380.0, RADIUS), nearest, 380.0, 5)
 
 
+@query(
+    "j9_density_cut_radius_0",
+    f"""WITH RECURSIVE {USERS}, core AS (SELECT i, max(dist) AS core FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, j) AS pos FROM pairs) WHERE pos <= 4 GROUP BY 1),
+          links AS (SELECT p.i, p.j FROM pairs p JOIN core a ON a.i = p.i JOIN core b ON b.i = p.j WHERE greatest(p.dist, a.core, b.core) <= 540),
+          reach AS (SELECT i AS a, i AS b FROM core UNION SELECT r.a, l.j FROM reach r JOIN links l ON l.i = r.b),
+          comp AS (SELECT a AS seq_id, min(b) AS component FROM reach GROUP BY 1),
+          sizes AS (SELECT component, count(*) AS n FROM comp GROUP BY 1)
+        SELECT seq_id, CASE WHEN n >= 5 THEN component ELSE -1 END AS label FROM comp JOIN sizes USING (component)""",
+)
+def density_cut_radius_0(spark, sf):
+    nodes = user_sequences(spark, sf)
+    nearest = dtw.nearest_sequences(nodes, 4, 0)
+    return clustering.density_cut(nodes, dtw.pairs_within(nodes, 540.0, 0), nearest, 540.0, 5)
+
+
 @query("j10_hierarchical")
 def hierarchical(spark, sf):
     features = cut_lineage(clustering.landmark_features(user_sequences(spark, sf), 64, RADIUS))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import days_since_due
+from tidemark.operators import quality
+from tidemark.operators import relational as rel
 from tidemark.operators import series as ts
 from tidemark.operators.quantiles import percentiles
 from tidemark.plans.registry import query
@@ -128,11 +131,9 @@ def forecast_metrics(spark, sf):
        UNION ALL SELECT 'o_orderpriority', round(avg(CASE WHEN o_orderpriority IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM j""",
 )
 def null_column_check(spark, sf):
-    from tidemark.operators.quality import null_shares
-
     orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P")
     joined = table(spark, sf, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
-    out = null_shares(joined, ["c_custkey", "o_orderkey", "o_orderpriority"])
+    out = quality.null_shares(joined, ["c_custkey", "o_orderkey", "o_orderpriority"])
     return out.withColumn("null_share", F.round("null_share", 6))
 
 
@@ -144,9 +145,7 @@ def null_column_check(spark, sf):
               CAST(coalesce(cnt / prev_cnt BETWEEN 0.5 AND 2.0, true) AS INTEGER) AS status FROM p""",
 )
 def temporal_consistency(spark, sf):
-    from tidemark.operators.quality import temporal_consistency as check
-
-    out = check(table(spark, sf, "orders"), [KEY], "o_orderdate", 0.5, 2.0)
+    out = quality.temporal_consistency(table(spark, sf, "orders"), [KEY], "o_orderdate", 0.5, 2.0)
     return out.withColumn("ratio", F.round("ratio", 6))
 
 
@@ -156,10 +155,8 @@ def temporal_consistency(spark, sf):
        UNION ALL SELECT 'price', count(*), count(*) FILTER (WHERE NOT l_extendedprice BETWEEN 0 AND 100000) FROM lineitem""",
 )
 def non_sensical(spark, sf):
-    from tidemark.operators.quality import range_violations
-
     rules = {"discount": ("l_discount", 0.0, 0.08), "price": ("l_extendedprice", 0.0, 100000.0)}
-    return range_violations(table(spark, sf, "lineitem"), rules)
+    return quality.range_violations(table(spark, sf, "lineitem"), rules)
 
 
 @query(
@@ -266,11 +263,9 @@ def latest_month_rows(spark, sf):
          UNION ALL SELECT o_custkey, CAST(o_orderstatus = 'F' AS INTEGER) FROM orders) GROUP BY 1""",
 )
 def best_status_per_key(spark, sf):
-    from tidemark.operators.relational import best_status, flag
-
-    seen = table(spark, sf, "events").select(F.col("user_id").alias("k"), flag(F.col("event_type") == "purchase").alias("status"))
-    later = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), flag(F.col("o_orderstatus") == "F").alias("status"))
-    return best_status([seen, later], "k")
+    seen = table(spark, sf, "events").select(F.col("user_id").alias("k"), rel.flag(F.col("event_type") == "purchase").alias("status"))
+    later = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), rel.flag(F.col("o_orderstatus") == "F").alias("status"))
+    return rel.best_status([seen, later], "k")
 
 
 @query(
@@ -314,8 +309,6 @@ def first_gap(spark, sf):
        SELECT 'before_due' AS event, ds + CAST(i AS INTEGER) AS ds, CAST(i AS INTEGER) AS "offset" FROM due, range(-1, 3) r(i) WHERE diff = 29""",
 )
 def event_table(spark, sf):
-    from tidemark.functions.scalars import days_since_due
-
     before_due = 29  # fixed value: days after the due date that mark the event
     days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("ds")).distinct()
     return ts.event_table(days, "ds", days_since_due(F.col("ds")) == before_due, "before_due", -1, 2)

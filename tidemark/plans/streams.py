@@ -52,12 +52,17 @@ def stream_score(spark, sf):
     )
 
 
-@query("l1_stream_score_metrics")
+@query(
+    "l1_stream_score_metrics",
+    """WITH p AS (SELECT value AS y, CAST(json_extract(props, '$.k') AS DOUBLE) AS p FROM events)
+       SELECT 'plain' AS version, round(1 - avg((y - p) * (y - p)) / var_pop(y), 8) AS r2, round(sqrt(avg((y - p) * (y - p))), 8) AS rmse, count(*) AS observations FROM p""",
+)
 def stream_score_metrics(spark, sf):
     path = scratch(spark, "scored")
     scorer = lambda batch: batch.select("value", F.from_json("props", "k double").getField("k").alias("prediction"))
     jobs.finish(jobs.score_stream(event_stream(spark, sf), scorer, "value", "plain", path, scratch(spark, "checkpoint")), WAIT)
-    return spark.read.parquet(f"{path}/metrics").select("version", "r2", "rmse", "observations")
+    metrics = spark.read.parquet(f"{path}/metrics")
+    return metrics.select("version", F.round("r2", 8).alias("r2"), F.round("rmse", 8).alias("rmse"), "observations")
 
 
 CLOSED = """SELECT date_trunc('hour', ts) AS runtime, event_type AS version, round(avg(value) / 100, 11) AS r2, round(stddev_pop(value), 6) AS rmse,
