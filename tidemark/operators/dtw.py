@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 BLOCK_ROWS = 128
 CANDIDATES_AT_ONCE = 8_192  # one row of the distance table then fits the processor cache
 UNBOUNDED = 1e12
@@ -276,7 +278,8 @@ def nearest_sequences(
     )
     ordered = F.array_sort(F.transform(others, lambda x: x.getField("d")))
     bound = F.coalesce(F.get(ordered, F.lit(k - 1)), F.lit(UNBOUNDED))
-    limited = measured.select("seq_id", "values", (bound * (1 + 1e-12)).alias("limit"))
+    # written once: the width and both sides of the search read it
+    limited = cut_lineage(measured.select("seq_id", "values", (bound * (1 + 1e-12)).alias("limit")))
     typical = limited.agg(F.percentile_approx("limit", 0.5)).scalar()
     spread = limited.agg((F.max(F.array_max("values")) - F.min(F.array_max("values"))) / 1024).scalar()
     width = F.greatest(F.least(typical, F.lit(UNBOUNDED / 1024)), spread, F.lit(1e-9))
