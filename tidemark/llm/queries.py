@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, simhash, token_counts
+from tidemark.llm import mixing, repeats, sharding, simhash, token_counts
 from tidemark.llm.common import word_count
 from tidemark.session import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 SHARDS = 24
+REPEATED_BYTES = 400
 MIX_WEIGHTS, MIX_TILTS = (1.0, 2.0, 3.0), (0.0, 0.5, -0.5)
 
 
@@ -64,6 +65,11 @@ FROM placed
 """
 
 
+def op6_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_spans(table(spark, folder, "documents"), REPEATED_BYTES)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, folder, "documents"), [1.0] * SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_source_mixing": op3_source_mixing,
+    "op6_repeated_bytes": op6_repeated_bytes,
     "op8_rendezvous_sharding": op8_rendezvous_sharding,
 }
 ORACLES = {"op3_source_mixing": OP3_SQL}
