@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, repeats, sharding, simhash, token_counts
+from tidemark.llm import decontamination, mixing, neighbours, repeats, sharding, simhash, token_counts
 from tidemark.llm.common import word_count
 from tidemark.session import scratch, table
 
@@ -14,6 +14,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 SHARDS = 24
 REPEATED_BYTES = 400
+QUERY_STEP, NEIGHBOURS = 100, 10
 MIX_WEIGHTS, MIX_TILTS = (1.0, 2.0, 3.0), (0.0, 0.5, -0.5)
 
 
@@ -70,16 +71,42 @@ def op6_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0), NEIGHBOURS)
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(q.e, lambda x, i: (x - c.e[i]) * (x - c.e[i]))), lambda a, b: a + b)) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op8_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, folder, "documents"), [1.0] * SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_source_mixing": op3_source_mixing,
     "op6_repeated_bytes": op6_repeated_bytes,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_rendezvous_sharding": op8_rendezvous_sharding,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
-ORACLES = {"op3_source_mixing": OP3_SQL}
+ORACLES = {"op3_source_mixing": OP3_SQL, "op7_nearest_neighbours": OP7_SQL}
