@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
@@ -28,3 +31,15 @@ def one_row_each(df: DataFrame, key: Column) -> DataFrame:
     once = df.join(again, key.eqNullSafe(F.col("_again")), "left_anti")
     repeated = df.join(again, key.eqNullSafe(F.col("_again")), "left_semi").withColumn("_again", key)
     return once.unionByName(repeated.dropDuplicates(["_again"]).drop("_again"))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, jobs that start send at most ``rows`` rows in an Arrow batch: texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

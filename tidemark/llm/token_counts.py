@@ -15,11 +15,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_length
+from tidemark.llm.common import batches_of, byte_length
 
 #: Fixed value: the split pattern of byte-level vocabularies, as public_tokenizers.PATTERN has it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_MEMO = 1_000_000  # pieces a worker remembers before it starts anew
+_MEMO = 250_000  # pieces a worker remembers before it starts anew
 _SCHEMA = "digest string, version string, n_tokens long"
 
 
@@ -77,8 +77,8 @@ def _encode(misses: DataFrame, tokenizer: str, version: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(tokenizer)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 100):
+                part = batch.slice(start, 100)
                 n = count(part.column("text").to_pylist())
                 same = pa.array([version] * part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("digest"), same, pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
@@ -117,7 +117,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id: str = "doc_id"
     known = docs.select(F.col(id).alias("id"), content.alias("text"), F.sha2(content, 256).alias("digest"))
     distinct = known.groupBy("digest").agg(F.first("text").alias("text"))
     misses = distinct.join(stored_counts(spark, cache, version), "digest", "left_anti")
-    _encode(misses.select("digest", "text"), tokenizer, version).write.mode("append").parquet(cache)
+    with batches_of(spark, 1000):
+        _encode(misses.select("digest", "text"), tokenizer, version).write.mode("append").parquet(cache)
     counted = known.select("id", byte_length(F.col("text")).alias("n_bytes"), "digest")
     found = counted.join(stored_counts(spark, cache, version), "digest")
     return found.select(F.col("id").alias(id), "n_bytes", "n_tokens")
