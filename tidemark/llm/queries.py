@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, mixing, neighbours, repeats, sharding, simhash, token_counts
+from tidemark.llm import decontamination, main_text, mixing, neighbours, repeats, sharding, simhash, token_counts
 from tidemark.llm.common import word_count
 from tidemark.session import scratch, table
 
@@ -100,6 +100,10 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -108,5 +112,6 @@ QUERIES = {
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_rendezvous_sharding": op8_rendezvous_sharding,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_html_main_text": op10_html_main_text,
 }
 ORACLES = {"op3_source_mixing": OP3_SQL, "op7_nearest_neighbours": OP7_SQL}
