@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, main_text, mixing, neighbours, repeats, sharding, simhash, token_counts
+from tidemark.llm import chat_quotes, decontamination, language_id, main_text, mixing, neighbours, repeats, sharding, simhash, token_counts
 from tidemark.llm.common import word_count
 from tidemark.session import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
+LEAST_CONFIDENCE = 0.5
 SHARDS = 24
 REPEATED_BYTES = 400
 QUERY_STEP, NEIGHBOURS = 100, 10
@@ -66,6 +67,18 @@ FROM placed
 """
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared language of a document is its lang, its host is its source."""
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(docs)
+    found = language_id.identify(docs, model, declared="lang", address="source")
+    return found.select("doc_id", "language", "confidence", language_id.accepted(LEAST_CONFIDENCE).alias("keep"))
+
+
+def op5_chat_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_quotes.conversations(table(spark, folder, "conversations"))
+
+
 def op6_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.repeated_spans(table(spark, folder, "documents"), REPEATED_BYTES)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
@@ -108,6 +121,8 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_source_mixing": op3_source_mixing,
+    "op4_language_id": op4_language_id,
+    "op5_chat_quotes": op5_chat_quotes,
     "op6_repeated_bytes": op6_repeated_bytes,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_rendezvous_sharding": op8_rendezvous_sharding,
