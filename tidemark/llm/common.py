@@ -22,15 +22,24 @@ def byte_length(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def one_row_each(df: DataFrame, key: Column) -> DataFrame:
     """``df`` with one row for each value of ``key``, which few rows share.
 
     Rows whose key occurs once pass without being shuffled; only the others are grouped.
     """
-    again = df.groupBy(key.alias("_again")).agg(F.count("*").alias("_n")).where("_n > 1").select("_again")
-    once = df.join(again, key.eqNullSafe(F.col("_again")), "left_anti")
-    repeated = df.join(again, key.eqNullSafe(F.col("_again")), "left_semi").withColumn("_again", key)
-    return once.unionByName(repeated.dropDuplicates(["_again"]).drop("_again"))
+    name = free_name(df, "again")
+    again = df.groupBy(key.alias(name)).agg(F.count("*").alias("n")).where("n > 1").select(name)
+    once = df.join(again, key.eqNullSafe(F.col(name)), "left_anti")
+    repeated = df.join(again, key.eqNullSafe(F.col(name)), "left_semi").withColumn(name, key)
+    return once.unionByName(repeated.dropDuplicates([name]).drop(name))
 
 
 @contextmanager

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
 from tidemark.session import cut_lineage
 
 #: Kept token positions of a window; the spans are at most MIN_TOKENS.
@@ -225,6 +226,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that copy no benchmark item."""
     found = contaminated_texts(docs, benchmark, text, item, item_text)
-    bad = found.select(F.struct("k1", "k2").alias("_keys")).distinct()
+    name = free_name(docs, "keys")
+    bad = found.select(F.struct("k1", "k2").alias(name)).distinct()
     k1, k2 = text_keys(text)
-    return docs.join(bad, F.struct(k1.alias("k1"), k2.alias("k2")) == F.col("_keys"), "left_anti")
+    return docs.join(bad, F.struct(k1.alias("k1"), k2.alias("k2")) == F.col(name), "left_anti")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
 from tidemark.session import cut_lineage
 
 BUCKETS = 1 << 14  # trigrams are hashed to so many counters
@@ -129,7 +130,7 @@ def identify(
     docs: DataFrame, model: TextModel, id: str = "doc_id", text: str = "text", declared: str | None = None, address: str | None = None,
     strength: float = 10.0,
 ) -> DataFrame:
-    """(key, id, language, confidence) for every row of ``docs``.
+    """(key, id, language, confidence, has_text) for every row of ``docs``.
 
     ``declared`` names the column of the language that the markup declares, ``address`` one of
     addresses or host names. ``key`` is a hash of what is read of a row. A text without letters
@@ -145,7 +146,8 @@ def identify(
     parts = [said.alias("declared"), host.alias("host"), domain.alias("domain"), suffix.alias("suffix")]
     known = docs.select(row_key(text, declared, address).alias("key"), F.col(id).alias("id"), F.col(text).alias("text"), *parts)
     if not names:
-        return known.select("key", F.col("id").alias(id), F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"))
+        unknown = [F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("has_text")]
+        return known.select("key", F.col("id").alias(id), *unknown)
     known = known.withColumn("declared", F.when(F.col("declared").isin(*names), F.col("declared")))
     scored = cut_lineage(_with_scores(known, model).withColumn("share", _softmax(F.col("scores"))))
 
@@ -197,8 +199,9 @@ def keep_identified(
     Rejected are texts without letters, null and empty ones among them, and texts whose language stays open.
     """
     found = identify(docs, model, id, text, declared, address)
-    bad = found.where(~accepted(least)).select(F.col("key").alias("_key")).distinct()
-    return docs.join(bad, row_key(text, declared, address) == F.col("_key"), "left_anti")
+    name = free_name(docs, "key")
+    bad = found.where(~accepted(least)).select(F.col("key").alias(name)).distinct()
+    return docs.join(bad, row_key(text, declared, address) == F.col(name), "left_anti")
 
 
 def accepted(least: float) -> Column:

@@ -52,7 +52,7 @@ levels AS (
            / (sum(weight) OVER () - sum(weight) OVER w + weight) AS level
   FROM weighted WINDOW w AS (ORDER BY cap / weight, source NULLS LAST
     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-chosen AS (SELECT arg_min(level, full_at) AS level FROM levels WHERE full_at > level),
+chosen AS (SELECT max(level) AS level FROM levels WHERE full_at > level),
 priced AS (
   SELECT source, source_size, least(cap, coalesce((SELECT level FROM chosen) * weight, cap)) AS target FROM weighted),
 placed AS (

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import one_row_each
+from tidemark.llm.common import free_name, one_row_each
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -121,6 +121,7 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     prints = cut_lineage(with_fingerprints(known, "text", "fingerprint", width, seed).drop("text"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     kept = prints.join(classes(prints), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
-    kept = kept.select(F.struct("row.id", "row.hash").alias("_kept"))
+    name = free_name(docs, "kept")
+    kept = kept.select(F.struct("row.id", "row.hash").alias(name))
     key = F.struct(F.col(id).alias("id"), text_hash.alias("hash"))
-    return one_row_each(docs.join(kept, key.eqNullSafe(F.col("_kept")), "left_semi"), key)
+    return one_row_each(docs.join(kept, key.eqNullSafe(F.col(name)), "left_semi"), key)
