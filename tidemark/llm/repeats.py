@@ -317,7 +317,7 @@ def repeated_spans(docs: DataFrame, length: int, id: str = "doc_id", text: str =
         byte_length(content).alias("n_bytes"),
     )
     long = known.where(F.col("n_bytes") >= length)
-    anchors = cut_lineage(_find_anchors(long.select("k1", "k2", "text"), length, gram)).repartition("h")
+    anchors = cut_lineage(_find_anchors(long.select("k1", "k2", "text"), length, gram))
     again = anchors.withColumn("sk", _sk()).groupBy("h").agg(F.min("sk").alias("first"), F.max("sk").alias("last"))
     met = anchors.join(again.where("first < last").select("h"), "h", "left_semi")
     listed = met.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "h")).alias("anchors"))
