@@ -186,3 +186,51 @@ def test_density_cut_drops_small_groups(spark):
     nearest = dtw.nearest_sequences(nodes, 2, landmarks=4)
     got = dict(rows(clustering.density_cut(nodes, dtw.pairs_within(nodes, 1.0), nearest, 1.0, 3)))
     assert [got[i] for i in range(8)] == [0, 0, 0, 0, 0, -1, -1, -1]
+
+
+def test_far_sequences_are_neighbours_too(spark):
+    """Two sequences 5e12 apart, and more neighbours asked for than landmarks or sequences exist."""
+    df = spark.createDataFrame([(1, [0.0]), (2, [5e12])], "id long, v array<double>")
+    found = dtw.nearest_sequences(dtw.distinct_sequences(df, "id", "v"), 2)
+    assert rows(found, "i", "j", "dist") == [(1, 2, 5e12), (2, 1, 5e12)]
+    many = spark.createDataFrame([(i, [float(i)]) for i in range(40)], "id long, v array<double>")
+    assert dtw.nearest_sequences(dtw.distinct_sequences(many, "id", "v"), 600, landmarks=3).count() == 40 * 39
+    assert len(dtw.pick_landmarks(dtw.distinct_sequences(many, "id", "v"), 1000)) == 40
+
+
+def test_copies_are_neighbours_of_every_key(spark):
+    values = [0.0] * 5 + [3.0, 3.0, 4.0, 10.0, 11.5]
+    df = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, v array<double>")
+    nodes = dtw.distinct_sequences(df, "id", "v")
+    belongs = dtw.members(df, "id", "v", nodes)
+    for k in (1, 3, 7):
+        found = dtw.nearest_members(dtw.nearest_sequences(nodes, k), belongs, "id", k)
+        want = []
+        for i, v in enumerate(values):
+            near = sorted((abs(v - w), j) for j, w in enumerate(values) if j != i)[:k]
+            want += [(i, j, d, p + 1) for p, (d, j) in enumerate(near)]
+        assert sorted(map(tuple, found.select("i", "j", "dist", "pos").collect())) == sorted(want)
+
+
+def test_density_cut_counts_copies(spark):
+    """Copies are neighbours at distance 0, so both nodes reach each other at 3."""
+    df = spark.createDataFrame([(i, [v]) for i, v in enumerate([0.0] * 5 + [3.0])], "id long, v array<double>")
+    nodes = dtw.distinct_sequences(df, "id", "v")
+    nearest = dtw.nearest_sequences(nodes, 2)
+    assert rows(clustering.core_distances(nodes, nearest), "i", "core") == [(0, 0.0), (5, 3.0)]
+    labels = clustering.density_cut(nodes, dtw.pairs_within(nodes, 5.0), nearest, 5.0, 6)
+    assert rows(dtw.label_members(labels, dtw.members(df, "id", "v", nodes), "id")) == [(i, 0) for i in range(6)]
+
+
+def test_every_node_has_an_affinity_label(spark):
+    pairs = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0), (5, 6, 1.0)], "i long, j long, dist double")
+    nodes = spark.createDataFrame([(i, 1) for i in (0, 1, 2, 5, 6, 9)], "seq_id long, copies long")
+    got = dict(rows(clustering.affinity_clusters(pairs, 2, nodes=nodes)))
+    assert sorted(got) == [0, 1, 2, 5, 6, 9] and got[9] == -1 and min(got[i] for i in (0, 1, 2, 5, 6)) >= 0
+
+
+def test_weights_move_the_centres(spark):
+    df = spark.createDataFrame([(0, [0.0], 1), (1, [1.0], 9), (2, [50.0], 1)], "seq_id long, f array<double>, copies long")
+    labelled = clustering.kmeans(df, "f", 2, weight="copies")
+    assert len({r.label for r in labelled.collect()}) == 2
+    assert clustering.bisecting_kmeans(df, "f", 2, weight="copies").count() == 3

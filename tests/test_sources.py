@@ -31,7 +31,7 @@ def test_rewrite_refuses_its_own_source(spark, tmp_path):
 def test_rewrite_compacts(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     spark.range(100).repartition(5).withColumn("x", F.col("id").cast("string")).write.parquet(source)
-    out = parquet.repair_and_rewrite(spark, source, target, {"x": "double"}, files=1)
+    out = parquet.repair_and_rewrite(spark, source, target, {"x": "double"}, file_bytes=1 << 30)
     assert dict(out.dtypes)["x"] == "double" and len(out.inputFiles()) == 1 and out.count() == 100
 
 
@@ -118,8 +118,8 @@ def test_broadcast_only_below_the_limit(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(session.broadcast_if_small(spark.range(10), 10))
-    assert not hinted(session.broadcast_if_small(spark.range(11), 10))
+    assert hinted(session.broadcast_if_small(spark.range(10), 100))
+    assert not hinted(session.broadcast_if_small(spark.range(1000), 100))
 
 
 def test_jdbc_options(spark):
@@ -185,6 +185,10 @@ def test_alerts_carry_the_best_values_over_batches(spark, tmp_path):
     stream = jobs.message_files(spark, str(source), part.schema, files_per_batch=1)
     jobs.finish(jobs.drift_alerts(stream, out, str(tmp_path / "c")), 120)
     log = spark.read.parquet(f"{out}/log")
+    together = jobs.message_files(spark, str(source), part.schema)
+    jobs.finish(jobs.drift_alerts(together, str(tmp_path / "one"), str(tmp_path / "d")), 120)
+    judged = [c for c in log.columns if c != "batch"]
+    assert rows(spark.read.parquet(str(tmp_path / "one/log")), *judged) == rows(log, *judged)
     assert rows(log, "version", "runtime", "ref_r2", "retrain") == [
         ("m", datetime(2024, 1, 1, 1), 0.95, 0), ("m", datetime(2024, 1, 1, 2), 0.95, 1),
         ("n", datetime(2024, 1, 1, 1), 0.5, 0), ("n", datetime(2024, 1, 1, 3), 0.5, 0),

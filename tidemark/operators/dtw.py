@@ -22,7 +22,7 @@ from tidemark.session import cut_lineage
 
 BLOCK_ROWS = 128
 CANDIDATES_AT_ONCE = 8_192  # one row of the distance table then fits the processor cache
-UNBOUNDED = 1e12
+UNBOUNDED = float("inf")  # no limit: every cell is searched
 
 
 # ---- kernels on numpy arrays -------------------------------------------------------------
@@ -111,15 +111,40 @@ def members(df: DataFrame, key: str, values: str, distinct: DataFrame, groups: S
     return df.join(named, [*groups, values]).select(*groups, key, "seq_id")
 
 
-# ---- landmarks ---------------------------------------------------------------------------
+def label_members(labelled: DataFrame, belongs: DataFrame, key: str, seq: str = "seq_id") -> DataFrame:
+    """The labels of distinct sequences given to every key that has them; ``belongs`` is of ``members``."""
+    named = labelled.withColumnRenamed(seq, "_seq")
+    joined = belongs.join(named, belongs["seq_id"] == named["_seq"]).drop("_seq", "seq_id")
+    return joined.withColumnRenamed(key, seq).select(*labelled.columns)
+
+
+def nearest_members(nearest: DataFrame, belongs: DataFrame, key: str, k: int) -> DataFrame:
+    """(i, j, dist, pos): the ``k`` nearest other keys of every key, copies at distance 0 among them.
+
+    Of the keys of one sequence at most k + 1 can be among a key's neighbours, the smallest ones.
+    """
+    keys = belongs.select("seq_id", F.col(key).alias("j"))
+    first = keys.withColumn("n", F.row_number().over(Window.partitionBy("seq_id").orderBy("j"))).where(F.col("n") <= k + 1).drop("n")
+    same = first.select("seq_id", F.col("seq_id").alias("other"), F.lit(0.0).alias("dist")).distinct()
+    different = nearest.select(F.col("i").alias("seq_id"), F.col("j").alias("other"), "dist")
+    offered = same.unionByName(different).join(first.withColumnRenamed("seq_id", "other"), "other").drop("other")
+    order = Window.partitionBy("seq_id").orderBy("dist", "j")
+    offered = offered.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
+    pairs = belongs.select("seq_id", F.col(key).alias("i")).join(offered, "seq_id").where(F.col("i") != F.col("j"))
+    ranked = pairs.withColumn("pos", F.row_number().over(Window.partitionBy("i").orderBy("dist", "j")))
+    return ranked.where(F.col("pos") <= k).select("i", "j", "dist", "pos")
 
-MAX_LANDMARKS = 512
 
+# ---- landmarks ---------------------------------------------------------------------------
 
 def pick_landmarks(distinct: DataFrame, count: int) -> list[tuple[int, list[float]]]:
-    """Up to ``count`` sequences in a fixed pseudo-random order; at most 512 reach the driver."""
-    if not 0 < count <= MAX_LANDMARKS:
-        raise ValueError(f"count must be between 1 and {MAX_LANDMARKS}")
+    """Up to ``count`` sequences in a fixed pseudo-random order.
+
+    They come to the driver and go to every task, so the caller's ``count`` is what bounds them:
+    10,000 sequences of a month are 2.5 MB.
+    """
+    if count < 1:
+        raise ValueError("count must be 1 or more")
     rows = distinct.select("seq_id", "values").orderBy(F.xxhash64("seq_id"), "seq_id").limit(count).collect()
     return [(r["seq_id"], list(r["values"])) for r in rows]
 
@@ -269,7 +294,7 @@ def nearest_sequences(
     The k-th smallest landmark distance of a sequence bounds its k-th neighbour from above.
     That bound limits the search, and each pair of blocks returns at most k rows per query.
     """
-    marks = pick_landmarks(distinct, max(landmarks, k + 1))
+    marks = pick_landmarks(distinct, landmarks)  # too few of them for k only loosens the bound
     measured = distances_to_landmarks(distinct, marks, radius)
     mark_ids = F.array(*[F.lit(i) for i, _ in marks])
     others = F.filter(
@@ -280,9 +305,10 @@ def nearest_sequences(
     bound = F.coalesce(F.get(ordered, F.lit(k - 1)), F.lit(UNBOUNDED))
     # written once: the width and both sides of the search read it
     limited = cut_lineage(measured.select("seq_id", "values", (bound * (1 + 1e-12)).alias("limit")))
-    typical = limited.agg(F.percentile_approx("limit", 0.5)).scalar()
+    bounded = F.when(F.col("limit") < UNBOUNDED, F.col("limit"))
+    typical = F.coalesce(limited.agg(F.percentile_approx(bounded, 0.5)).scalar(), F.lit(0.0))
     spread = limited.agg((F.max(F.array_max("values")) - F.min(F.array_max("values"))) / 1024).scalar()
-    width = F.greatest(F.least(typical, F.lit(UNBOUNDED / 1024)), spread, F.lit(1e-9))
+    width = F.greatest(typical, spread, F.lit(1e-9))
     found = _search(_block_pairs(limited, [], width, symmetric=False), [], radius, symmetric=False, keep=k)
     order = Window.partitionBy("i").orderBy("dist", "j")
     return found.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= k)

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import regression_metrics
@@ -100,6 +100,24 @@ def judge(best: DataFrame, version: str = "version") -> DataFrame:
     return flagged.withColumn("message", message)
 
 
+def judge_each(metrics: DataFrame, before: DataFrame, version: str = "version", runtime: str = "runtime") -> DataFrame:
+    """Every metrics row against the best of its version up to that row.
+
+    ``before`` has the best values of earlier rows, one ``best_and_latest`` row per version.
+    """
+    upto = Window.partitionBy(version).orderBy(runtime)
+    known = before.select(version, F.col("ref_r2").alias("_r2"), F.col("ref_rmse").alias("_rmse"))
+    joined = metrics.join(known, version, "left")
+    rest = [c for c in metrics.columns if c != version]
+    each = joined.select(
+        version,
+        F.greatest(F.max("r2").over(upto), F.col("_r2")).alias("ref_r2"),
+        F.least(F.min("rmse").over(upto), F.col("_rmse")).alias("ref_rmse"),
+        F.struct(*rest).alias("latest"),
+    )
+    return judge(each, version)
+
+
 def drift_flags(metrics: DataFrame, version: str = "version", runtime: str = "runtime") -> DataFrame:
     """Latest metrics of each version against its best so far."""
     return judge(best_and_latest(metrics, version, runtime), version)

@@ -47,15 +47,21 @@ def snapshot_availability(
     ts: str,
     expected: Sequence[str],
     skip: Column | None = None,
+    until: Column | None = None,
 ) -> DataFrame:
     """Status 1 for every expected table and day with rows, else 0.
 
-    Expected tables are a short list of names; days run from the first to the last one seen.
+    Expected tables are a short list of names; days run from the first one seen to the day
+    ``until``, or to the last one seen. With ``until`` that day is judged even if no table has a
+    row on it, or any row at all.
     ``skip`` (over ``source_table`` and ``day``) leaves out table-days that need no snapshot.
     """
     day = F.to_date(ts).alias("day")
     counts = df.groupBy(F.col(table_name).alias("source_table"), day).agg(F.count("*").alias("cnt"))
-    span = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    lo, hi = F.min("day"), F.max("day")
+    if until is not None:
+        lo, hi = F.least(F.coalesce(lo, until), until), until
+    span = counts.agg(lo.alias("lo"), hi.alias("hi"))
     names = F.explode(F.array(*[F.lit(n) for n in expected])).alias("source_table")
     days = span.select(F.explode(F.sequence("lo", "hi")).alias("day")).select("day", names)
     if skip is not None:

@@ -31,10 +31,12 @@ def working_days(days: DataFrame, day: str, holidays: DataFrame) -> DataFrame:
 def calendar_fill(
     daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str]
 ) -> DataFrame:
-    """Every day between a key's first and last day, 0 where the key has no row."""
+    """Every day between a key's first and last day, 0 where the key has no row; nulls in rows stay."""
     span = daily.groupBy(*keys).agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     days = span.select(*keys, F.explode(F.sequence("lo", "hi")).alias(day))
-    return days.join(daily, [*keys, day], "left").na.fill(0, list(values))
+    found = days.join(daily.withColumn("_known", F.lit(True)), [*keys, day], "left")
+    filled = {v: F.when(F.col("_known").isNull(), F.lit(0)).otherwise(F.col(v)).alias(v) for v in values}
+    return found.select(*[filled.get(c, c) for c in found.columns if c != "_known"])
 
 
 def make_future(daily: DataFrame, keys: Sequence[str], day: str, periods: int) -> DataFrame:

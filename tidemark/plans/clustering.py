@@ -21,11 +21,20 @@ USERS = """daily AS (SELECT user_id, day(ts) AS day, date_trunc('month', ts) AS
     FROM seqs a JOIN seqs b ON a.day = b.day AND a.user_id <> b.user_id GROUP BY 1, 2)"""
 
 
-def user_sequences(spark, sf):
-    """Distinct daily value arrays of the users' latest month, cents rounded."""
+def users(spark, sf):
+    """Distinct daily value arrays of the users' latest month, cents rounded, and the array of each user."""
     daily = seq.daily_sequences(table(spark, sf, "events"), ["user_id"], "ts", "value")
-    cents = daily.withColumn("amounts", F.transform("amounts", lambda x: F.round(x, 2)))
-    return cut_lineage(dtw.distinct_sequences(cents, "user_id", "amounts"))
+    cents = cut_lineage(daily.withColumn("amounts", F.transform("amounts", lambda x: F.round(x, 2))))
+    distinct = cut_lineage(dtw.distinct_sequences(cents, "user_id", "amounts"))
+    return distinct, dtw.members(cents, "user_id", "amounts", distinct)
+
+
+def user_sequences(spark, sf):
+    return users(spark, sf)[0]
+
+
+def for_users(labelled, belongs):
+    return dtw.label_members(labelled, belongs, "user_id")
 
 
 @query("j3_dtw_pairs")
@@ -75,7 +84,8 @@ def by_category_radius_0(spark, sf):
 
 @query("j5_dtw_topk")
 def dtw_topk(spark, sf):
-    return dtw.nearest_sequences(user_sequences(spark, sf), 5, RADIUS)
+    nodes, belongs = users(spark, sf)
+    return dtw.nearest_members(dtw.nearest_sequences(nodes, 5, RADIUS), belongs, "user_id", 5)
 
 
 @query(
@@ -83,13 +93,15 @@ def dtw_topk(spark, sf):
     f"""WITH {USERS} SELECT i, j, round(dist, 6) AS dist, CAST(pos AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, j) AS pos FROM pairs) WHERE pos <= 5""",
 )
 def topk_radius_0(spark, sf):
-    return dtw.nearest_sequences(user_sequences(spark, sf), 5, 0).withColumn("dist", F.round("dist", 6))
+    nodes, belongs = users(spark, sf)
+    return dtw.nearest_members(dtw.nearest_sequences(nodes, 5, 0), belongs, "user_id", 5).withColumn("dist", F.round("dist", 6))
 
 
 @query("j6_kmeans_on_distances")
 def kmeans_on_distances(spark, sf):
-    features = cut_lineage(clustering.landmark_features(user_sequences(spark, sf), 64, RADIUS))
-    return clustering.kmeans(features, "distances", K).select("seq_id", "label")
+    nodes, belongs = users(spark, sf)
+    features = cut_lineage(clustering.landmark_features(nodes, 64, RADIUS, ("seq_id", "copies")))
+    return for_users(clustering.kmeans(features, "distances", K, weight="copies").select("seq_id", "label"), belongs)
 
 
 @query("j7_mds_scale_kmeans")
@@ -110,8 +122,8 @@ def mds_scale_kmeans(spark, sf):
 
 @query("j8_dbscan")
 def dbscan(spark, sf):
-    nodes = user_sequences(spark, sf)
-    return clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 350.0, RADIUS)), 5)
+    nodes, belongs = users(spark, sf)
+    return for_users(clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 350.0, RADIUS)), 5), belongs)
 
 
 @query(
@@ -125,15 +137,15 @@ def dbscan(spark, sf):
         SELECT n.seq_id, coalesce(c.label, b.label, -1) AS label, n.is_core FROM nodes n LEFT JOIN cores c USING (seq_id) LEFT JOIN border b USING (seq_id)""",
 )
 def dbscan_radius_0(spark, sf):
-    nodes = user_sequences(spark, sf)
-    return clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 520.0, 0)), 5)
+    nodes, belongs = users(spark, sf)
+    return for_users(clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 520.0, 0)), 5), belongs)
 
 
 @query("j9_density_cut")
 def density_cut(spark, sf):
-    nodes = user_sequences(spark, sf)
-    nearest = dtw.nearest_sequences(nodes, 4, RADIUS)
-    return clustering.density_cut(nodes, dtw.pairs_within(nodes, 380.0, RADIUS), nearest, 380.0, 5)
+    nodes, belongs = users(spark, sf)
+    nearest = cut_lineage(dtw.nearest_sequences(nodes, 4, RADIUS))
+    return for_users(clustering.density_cut(nodes, dtw.pairs_within(nodes, 380.0, RADIUS), nearest, 380.0, 5), belongs)
 
 
 @query(
@@ -146,21 +158,23 @@ def density_cut(spark, sf):
         SELECT seq_id, CASE WHEN n >= 5 THEN component ELSE -1 END AS label FROM comp JOIN sizes USING (component)""",
 )
 def density_cut_radius_0(spark, sf):
-    nodes = user_sequences(spark, sf)
-    nearest = dtw.nearest_sequences(nodes, 4, 0)
-    return clustering.density_cut(nodes, dtw.pairs_within(nodes, 540.0, 0), nearest, 540.0, 5)
+    nodes, belongs = users(spark, sf)
+    nearest = cut_lineage(dtw.nearest_sequences(nodes, 4, 0))
+    return for_users(clustering.density_cut(nodes, dtw.pairs_within(nodes, 540.0, 0), nearest, 540.0, 5), belongs)
 
 
 @query("j10_hierarchical")
 def hierarchical(spark, sf):
-    features = cut_lineage(clustering.landmark_features(user_sequences(spark, sf), 64, RADIUS))
-    return clustering.bisecting_kmeans(features, "distances", K).select("seq_id", "label")
+    nodes, belongs = users(spark, sf)
+    features = cut_lineage(clustering.landmark_features(nodes, 64, RADIUS, ("seq_id", "copies")))
+    return for_users(clustering.bisecting_kmeans(features, "distances", K, weight="copies").select("seq_id", "label"), belongs)
 
 
 @query("j11_spectral")
 def spectral(spark, sf):
-    pairs = cut_lineage(dtw.pairs_within(user_sequences(spark, sf), 400.0, RADIUS))
-    return clustering.affinity_clusters(pairs, K)
+    nodes, belongs = users(spark, sf)
+    found = clustering.affinity_clusters(cut_lineage(dtw.pairs_within(nodes, 400.0, RADIUS)), K, nodes=nodes)
+    return dtw.label_members(found, belongs, "user_id", "id")
 
 
 def vectors(spark, sf):

@@ -158,10 +158,10 @@ def hourly_metrics(events):
 
 @query(
     "k13_batch_metrics",
-    f"SELECT version, runtime, round(r2, 3) AS r2, round(rmse, 4) AS rmse, observations FROM ({METRICS_SQL}) WHERE observations > 1",
+    f"SELECT version, runtime, round(r2, 3) AS r2, round(rmse, 4) AS rmse, observations FROM ({METRICS_SQL})",
 )
 def batch_metrics(spark, sf):
-    out = hourly_metrics(table(spark, sf, "events")).where(F.col("observations") > 1)
+    out = hourly_metrics(table(spark, sf, "events"))
     return out.withColumn("r2", F.round("r2", 3)).withColumn("rmse", F.round("rmse", 4))
 
 

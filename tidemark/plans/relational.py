@@ -448,7 +448,8 @@ def min_rollup(spark, sf):
     return by_pair.groupBy("report").agg(F.min("low").alias("status"))
 
 
-_COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings", "pages"]
+_COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_COUNTED += ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @query(

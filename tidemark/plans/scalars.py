@@ -230,14 +230,15 @@ def math(spark, sf):
 
 @query(
     "h19_array_pad_get",
-    """WITH d AS (SELECT user_id, CAST(day(ts) AS INTEGER) AS day, sum(value) AS v FROM events WHERE day(ts) <= 28 GROUP BY 1, 2)
+    """WITH d AS (SELECT user_id, CAST(day(ts) AS INTEGER) AS day, sum(value) AS v FROM events GROUP BY 1, 2)
        SELECT u.user_id, CAST(31 AS INTEGER) AS size, round(coalesce(first(d3.v), 0) * 2, 2) AS third_doubled,
-              CAST(0 AS DOUBLE) AS last_item
+              round(coalesce(first(d31.v), 0) * 2, 2) AS last_item
        FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN (SELECT * FROM d WHERE day = 3) d3 ON d3.user_id = u.user_id
+       LEFT JOIN (SELECT * FROM d WHERE day = 31) d31 ON d31.user_id = u.user_id
        GROUP BY u.user_id""",
 )
 def array_pad_get(spark, sf):
-    days = F.sequence(F.lit(1), F.lit(28))
+    days = F.sequence(F.lit(1), F.greatest(F.lit(1), F.array_max(F.map_keys("by_day"))))  # a month's arrays differ in length
     daily = (
         table(spark, sf, "events")
         .groupBy("user_id", F.dayofmonth("ts").alias("day"))
@@ -252,7 +253,7 @@ def array_pad_get(spark, sf):
         "user_id",
         F.size("total").alias("size"),
         F.round(F.element_at("total", 3), 2).alias("third_doubled"),
-        F.element_at("total", -1).alias("last_item"),
+        F.round(F.element_at("total", -1), 2).alias("last_item"),
     )
 
 

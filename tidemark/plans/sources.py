@@ -36,7 +36,7 @@ def schema_repair_rewrite(spark, sf):
     source, target = scratch(spark, "broken"), scratch(spark, "repaired")
     broken = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("string"))
     broken.write.parquet(source)
-    return parquet.repair_and_rewrite(spark, source, target, {"o_totalprice": "double"}, files=1)
+    return parquet.repair_and_rewrite(spark, source, target, {"o_totalprice": "double"}, file_bytes=128 << 20)
 
 
 @query(

@@ -58,13 +58,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after seeing that ``df`` has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast only if the planner's estimate of ``df`` is at most ``max_bytes``.
 
-    The check stops reading after ``max_rows + 1`` rows. A larger side is returned without
-    the hint and is joined by shuffle.
+    The estimate comes from file sizes, so no job runs. A larger side, or one of unknown size, is
+    returned without the hint; adaptive execution then joins it by its real size.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(estimate)) <= max_bytes else df
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -15,9 +15,15 @@ def read_jdbc(
     bounds: tuple[object, object] | None = None,
     partitions: int = 32,
 ) -> DataFrame:
-    """A whole table, read in ``partitions`` parallel ranges of ``partition_column``."""
+    """A whole table, read in ``partitions`` parallel ranges of ``partition_column`` within ``bounds``.
+
+    Without both the whole table would be one task, so they are required; one partition is asked
+    for by ``partitions=1``.
+    """
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    if partition_column and bounds:
+    if partitions > 1:
+        if not partition_column or bounds is None:
+            raise ValueError("name a partition column and its bounds, or ask for one partition")
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(bounds[0]))
@@ -28,5 +34,5 @@ def read_jdbc(
 
 
 def append_jdbc(df: DataFrame, table: str, options: Mapping[str, str], writers: int = 16) -> None:
-    """Append rows with a bounded number of connections."""
-    df.coalesce(writers).write.format("jdbc").options(**options).option("dbtable", table).mode("append").save()
+    """Append rows with a bounded number of connections; what is before the write stays parallel."""
+    df.repartition(writers).write.format("jdbc").options(**options).option("dbtable", table).mode("append").save()

@@ -51,9 +51,9 @@ def read_parquet_folder(
 
 
 def repair_and_rewrite(
-    spark: SparkSession, source: str, target: str, casts: dict[str, str], files: int | None = None
+    spark: SparkSession, source: str, target: str, casts: dict[str, str], file_bytes: int | None = None
 ) -> DataFrame:
-    """Cast columns and write the folder anew; ``files`` compacts it to that many files.
+    """Cast columns and write the folder anew; ``file_bytes`` compacts it to files of about that size.
 
     The target must differ from the source, which is still being read while the target is
     written. Fewer files come from a repartition, so that the reading and casting before it
@@ -64,7 +64,11 @@ def repair_and_rewrite(
     repaired = spark.read.parquet(source)
     for column, kind in casts.items():
         repaired = repaired.withColumn(column, F.col(column).cast(kind))
-    (repaired.repartition(files) if files else repaired).write.mode("overwrite").parquet(target)
+    if file_bytes:
+        at = spark._jvm.org.apache.hadoop.fs.Path(source)
+        size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+        repaired = repaired.repartition(max(1, -(-size // file_bytes)))
+    repaired.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 

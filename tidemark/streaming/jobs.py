@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.models import batch_metrics, best_and_latest, judge, merge_best
+from tidemark.operators.models import batch_metrics, best_and_latest, judge_each, merge_best
 
 # fixed values: how late rows may come and the length of a monitoring window
 LATE = "2 hours"
@@ -98,23 +98,21 @@ def windowed_metrics(messages: DataFrame, ts: str, version: Column, **measures:
 
 
 def drift_alerts(metrics_stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """After each batch of new metrics judge the versions in it against their best so far.
+    """Judge every new metrics row against its version's best up to that row.
 
     All judgements are logged; only those that call for retraining are published, as JSON. The
     best values are carried from batch to batch, so a batch costs its own rows and one row per
-    version, not the whole history.
+    version, not the whole history, and how rows fall into batches does not matter.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        best = best_and_latest(batch)
+        before = merge_best(best_and_latest(batch.limit(0)))
         if number > 0:
-            best = merge_best(best.unionByName(spark.read.schema(best.schema).parquet(_batch_folder(path, "best", number - 1))))
+            before = spark.read.schema(before.schema).parquet(_batch_folder(path, "best", number - 1))
         state, log = _batch_folder(path, "best", number), _batch_folder(path, "log", number)
-        best.write.mode("overwrite").parquet(state)
-        touched = batch.select("version").distinct()
-        current = spark.read.schema(best.schema).parquet(state).join(touched, "version", "left_semi")
-        judge(current).write.mode("overwrite").parquet(log)
+        judge_each(batch, before).write.mode("overwrite").parquet(log)
+        merge_best(best_and_latest(batch).unionByName(before)).write.mode("overwrite").parquet(state)
         publish(spark.read.parquet(log), _batch_folder(path, "published", number))
 
     return run_batches(metrics_stream, handle, checkpoint)
