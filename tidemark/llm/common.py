@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,12 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system; idle workers stay for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

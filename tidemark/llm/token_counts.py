@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, byte_length
+from tidemark.llm.common import batches_of, byte_length, give_back
 
 #: Fixed value: the split pattern of byte-level vocabularies, as public_tokenizers.PATTERN has it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -82,6 +82,8 @@ def _encode(misses: DataFrame, tokenizer: str, version: str) -> DataFrame:
                 n = count(part.column("text").to_pylist())
                 same = pa.array([version] * part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("digest"), same, pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
+        del count
+        give_back()
 
     return misses.mapInArrow(encode, _SCHEMA)
 
@@ -117,7 +119,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id: str = "doc_id"
     known = docs.select(F.col(id).alias("id"), content.alias("text"), F.sha2(content, 256).alias("digest"))
     distinct = known.groupBy("digest").agg(F.first("text").alias("text"))
     misses = distinct.join(stored_counts(spark, cache, version), "digest", "left_anti")
-    with batches_of(spark, 1000):
+    with batches_of(spark, 500):
         _encode(misses.select("digest", "text"), tokenizer, version).write.mode("append").parquet(cache)
     counted = known.select("id", byte_length(F.col("text")).alias("n_bytes"), "digest")
     found = counted.join(stored_counts(spark, cache, version), "digest")
