@@ -68,7 +68,8 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang", sample_
     first = known.select("language", "h").distinct()
     few = first.withColumn("n", F.row_number().over(Window.partitionBy("language", part).orderBy("h"))).where(F.col("n") <= sample_rows)
     few = few.withColumn("n", F.row_number().over(Window.partitionBy("language").orderBy("h"))).where(F.col("n") <= sample_rows)
-    sample = known.join(few.select("language", "h"), ["language", "h"], "left_semi").dropDuplicates(["language", "h"])
+    few = cut_lineage(few.select("language", "h"))  # its size is then known, so the texts are not shuffled to find it
+    sample = known.join(few, ["language", "h"], "left_semi").dropDuplicates(["language", "h"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
