@@ -8,7 +8,7 @@ import re
 import xxhash
 
 from tidemark.llm.components import components
-from tidemark.llm.simhash import fingerprint_of, keep_one, links, near_duplicates
+from tidemark.llm.simhash import fingerprints_of, keep_one, links, near_duplicates
 
 
 def plain_fingerprint(text, width=3):
@@ -58,7 +58,7 @@ def corpus():
 
 def test_fingerprints():
     for text in corpus()[:40]:
-        assert fingerprint_of(text, 3, 42) % (1 << 64) == plain_fingerprint(text)
+        assert fingerprints_of(text, 3, 42, 1)[0] % (1 << 64) == plain_fingerprint(text)
 
 
 def test_classes_equal_all_pairs(spark):
@@ -76,6 +76,28 @@ def test_classes_equal_all_pairs(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*alone, None], key=str)
 
 
+def test_views_add_links(spark):
+    texts = corpus()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    views = [[f % (1 << 64) for f in fingerprints_of(t, 3, 42, 3)] for t in texts]
+    assert [v[0] for v in views] == [plain_fingerprint(t) for t in texts] and len({len(set(v)) for v in views[3:]}) >= 1
+    ids = list(range(len(texts)))
+
+    def root(i):
+        while ids[i] != i:
+            i = ids[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if any((a ^ b).bit_count() <= 2 for a, b in zip(views[i], views[j])):
+                a, b = sorted((root(i), root(j)))
+                ids[b] = a
+    want = sorted({root(i) for i in ids})
+    assert sorted(r.doc_id for r in keep_one(df, views=3).collect()) == want
+    assert len(want) < keep_one(df).count()
+
+
 def test_links_reach_all_pairs_in_a_crowd(spark):
     """Thousands of fingerprints around one: links stay linear and connect exactly the near ones."""
     rng = random.Random(1)

@@ -8,11 +8,17 @@ matches of a probe are fetched, and complete distances are verified.
 A bucket keyed by one segment alone may hold a third of all fingerprints (a large group of near
 copies agrees in most bits); a probe of this table is within one bit of all its fingerprints, so
 its bucket holds 65 at most, whatever the data. Equal fingerprints are merged first.
+
+Two bits of 64 find copies that differ in few words. To find nearer to all copies of a similarity
+of 0.8 and more, ``keep_one`` may look at several views: independent fingerprints of the same
+shingles. Texts are then linked if they are within two bits in any view, still without a bucket
+that grows with a group of copies.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -29,33 +35,45 @@ from tidemark.session import cut_lineage
 SEGMENT_BITS = 16
 MAX_DISTANCE = 2
 _BLOCK = 1 << 16  # shingles whose bits are counted at once
+_MIX = 0x9E3779B97F4A7C15
+
 
+def fingerprints_of(text: str | None, width: int, seed: int, views: int) -> list[int]:
+    """Signed 64-bit SimHashes of a text's word shingles (lower-cased A-Z, ASCII white space).
 
-def fingerprint_of(text: str | None, width: int, seed: int) -> int:
-    """Signed 64-bit SimHash of a text's word shingles (lower-cased A-Z, ASCII white space)."""
+    The first view takes the bits of the shingles' hashes, each other one those of a mix of them.
+    """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return [0] * views
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)))) if len(words) >= width else [b" ".join(words)]
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for start in range(0, len(hashes), _BLOCK):
-        block = hashes[start : start + _BLOCK].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (ones * 2 > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
-
-
-def with_fingerprints(docs: DataFrame, text: str, column: str, width: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with the long ``column``: the SimHash of ``text``; null and wordless texts get 0."""
+    out = []
+    for view in range(views):
+        ones = np.zeros(64, dtype=np.int64)
+        for start in range(0, len(hashes), _BLOCK):
+            block = hashes[start : start + _BLOCK]
+            if view:
+                block = (block ^ (block >> np.uint64(29))) * np.uint64(2 * view + 1) * np.uint64(_MIX)
+                block ^= block >> np.uint64(32)
+            bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+        most = (ones * 2 > len(hashes)).astype(np.uint8)
+        out.append(int(np.packbits(most, bitorder="little").view("<i8")[0]))
+    return out
+
+
+def with_fingerprints(docs: DataFrame, text: str, columns: Sequence[str], width: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with a long column for each view of the SimHash of ``text``; null and wordless texts get 0."""
     at = docs.columns.index(text)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint_of(value.as_py(), width, seed) for value in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, column])
+            found = [fingerprints_of(value.as_py(), width, seed, len(columns)) for value in batch.column(at)]
+            views = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *views], [*batch.schema.names, *columns])
 
-    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
+    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in columns)]))
 
 
 def _ball(fingerprint: Column) -> Column:
@@ -82,13 +100,31 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return verified.select(F.col("fingerprint").alias("a"), F.col("first").alias("b")).distinct()
 
 
-def classes(prints: DataFrame) -> DataFrame:
-    """(fingerprint, root, component_id) for every distinct fingerprint of ``prints`` (id, fingerprint).
+def _view_links(prints: DataFrame, view: str) -> DataFrame:
+    """(a, b): links between fingerprints of the first view that another view asks for.
+
+    A fingerprint of the other view stands for the smallest first one that it occurs with.
+    """
+    seen = cut_lineage(prints.select("fingerprint", F.col(view).alias("other")).distinct())
+    stands = cut_lineage(seen.groupBy("other").agg(F.min("fingerprint").alias("rep")))
+    same = seen.join(stands, "other").where("fingerprint <> rep").select(F.col("fingerprint").alias("a"), F.col("rep").alias("b"))
+    near = links(stands.select(F.col("other").alias("fingerprint")))
+    for end in ("a", "b"):
+        near = near.join(stands.select(F.col("other").alias(end), F.col("rep").alias(f"rep_{end}")), end)
+    return same.unionByName(near.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).where("a <> b"))
+
+
+def classes(prints: DataFrame, views: Sequence[str] = ()) -> DataFrame:
+    """(fingerprint, root, component_id) for every distinct fingerprint of ``prints`` (id, fingerprint, views).
 
     ``component_id`` is the smallest id of the class, null only if all its ids are null.
     """
     distinct = cut_lineage(prints.groupBy("fingerprint").agg(F.min("id").alias("id")))
-    roots = components(links(distinct.select("fingerprint")))
+    edges = links(distinct.select("fingerprint"))
+    if views:
+        # each view is written before the next, so that their probes are not on disk together
+        edges = reduce(DataFrame.unionByName, [cut_lineage(e) for e in (edges, *(_view_links(prints, v) for v in views))])
+    roots = components(edges)
     rooted = distinct.join(roots, distinct.fingerprint == roots.node, "left").select(
         "fingerprint", "id", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -102,25 +138,29 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     Repeated rows give repeated rows. No rows give no rows. Other columns are not read.
     """
     known = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    prints = cut_lineage(with_fingerprints(known, "text", "fingerprint", width, seed).drop("text"))
+    prints = cut_lineage(with_fingerprints(known, "text", ["fingerprint"], width, seed).drop("text"))
     found = prints.join(classes(prints), "fingerprint")
     return found.select(
         F.col("id").alias(id), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42, views: int = 1
+) -> DataFrame:
     """One row of each class of near duplicates, with all columns of ``docs``.
 
+    Texts are linked that are within two bits in any of ``views`` independent fingerprints.
     The row with the smallest id stays, null ids last, then the smallest hash of the text; of
     rows equal in both any one stays. Nulls, empty texts and empty tables as in
     ``near_duplicates``.
     """
     text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     known = docs.select(F.col(id).alias("id"), text_hash.alias("hash"), F.col(text).alias("text"))
-    prints = cut_lineage(with_fingerprints(known, "text", "fingerprint", width, seed).drop("text"))
+    others = [f"view{i}" for i in range(1, views)]
+    prints = cut_lineage(with_fingerprints(known, "text", ["fingerprint", *others], width, seed).drop("text"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
-    kept = prints.join(classes(prints), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
+    kept = prints.join(classes(prints, others), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
     name = free_name(docs, "kept")
     kept = kept.select(F.struct("row.id", "row.hash").alias(name))
     key = F.struct(F.col(id).alias("id"), text_hash.alias("hash"))
