@@ -26,7 +26,7 @@ MASKS = ("1110111", "11011011", "11101101", "10110111")
 MIN_TOKENS = 8  # items with fewer tokens take no part: they occur by chance
 MIN_STRETCH = 13  # tokens of a copied stretch that is not a whole item
 SIMILARITY = 0.8
-FILTER_BITS = 24  # the bit table has 2**24 bits, 2 MB
+FILTER_BITS = 24  # the bit table has 2**24 bits, 2 MB; a seed sets one bit by its low and one by its next bits
 _PENALTY = 4  # of a differing token, at a similarity of 0.8
 _SEPARATORS = re.compile("[\\u00a0-\\u00a9\\u00ab-\\u00b1\\u00b4-\\u00b8\\u00bb\\u00bf\\u2000-\\u206f\\u3000-\\u303f]")  # non-ASCII spaces and marks
 _BASE = 0x9E3779B97F4A7C15
@@ -107,7 +107,8 @@ def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
 
 def _bit_table(hashes: DataFrame) -> bytes:
     """The bits of all hashes; its size is fixed by FILTER_BITS, so it may go to every task."""
-    bits = hashes.select(F.col("h").bitwiseAND((1 << FILTER_BITS) - 1).alias("bit"))
+    two = F.array(F.col("h"), F.shiftrightunsigned("h", FILTER_BITS))
+    bits = hashes.select(F.explode(two).alias("part")).select(F.col("part").bitwiseAND((1 << FILTER_BITS) - 1).alias("bit"))
     words = bits.selectExpr("shiftright(bit, 5) AS word", "shiftleft(1L, cast(bit % 32 AS int)) AS bits")
     table = np.zeros((1 << FILTER_BITS) // 32, dtype=np.uint32)
     for word, bits in words.groupBy("word").agg(F.bit_or("bits")).collect():  # at most 2**(FILTER_BITS - 5) rows
@@ -115,6 +116,11 @@ def _bit_table(hashes: DataFrame) -> bytes:
     return table.tobytes()
 
 
+def _is_set(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bit = h & np.uint64((1 << FILTER_BITS) - 1)
+    return (table[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+
+
 def _training_hits(texts: DataFrame, table: bytes) -> DataFrame:
     """(k1, k2, tokens, positions, hashes) of the texts of which a seed is in the bit table."""
     shared = texts.sparkSession.sparkContext.broadcast(table)
@@ -126,8 +132,8 @@ def _training_hits(texts: DataFrame, table: bytes) -> DataFrame:
             for row, value in enumerate(batch.column("text")):
                 own = known.of(value.as_py())
                 at, h = seeds(own)
-                low = h & np.uint64((1 << FILTER_BITS) - 1)
-                hit = (bits[low >> np.uint64(5)] >> (low & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+                hit = _is_set(bits, h)
+                hit[hit] = _is_set(bits, h[hit] >> np.uint64(FILTER_BITS))
                 if hit.any():
                     rows.append(row)
                     tokens.append(own.view(np.int64))
