@@ -11,8 +11,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import quality, scorecard, series
-from tidemark.sources import jdbc
+from tidemark.operators import models, quality, scorecard, series
+from tidemark.sources import jdbc, parquet, text
 
 DAY = dt.date(2024, 5, 3)
 
@@ -73,3 +73,27 @@ def test_many_bins_are_found():
 def test_a_database_table_needs_bounds(spark):
     with pytest.raises(ValueError, match="bounds"):
         jdbc.read_jdbc(spark, "t", {"url": "jdbc:none:x"})
+
+
+def test_partition_values_of_a_mixed_folder_are_kept(spark, tmp_path):
+    folder = str(tmp_path / "mixed")
+    spark.range(3).selectExpr("id AS x", "id % 2 AS k").write.partitionBy("k").parquet(folder)
+    spark.range(3, 5).selectExpr("cast(id AS int) AS x").write.parquet(f"{folder}/k=7")
+    found = parquet.read_parquet_folder(spark, folder)
+    assert rows(found, "x", "k") == [(0, 0), (1, 1), (2, 0), (3, 7), (4, 7)]
+    again = parquet.read_parquet_folder(spark, folder, found.schema)
+    assert rows(again, "x", "k") == rows(found, "x", "k")
+
+
+def test_class_texts_hold_nested_elements(spark):
+    html = "<div class=\"job\"><b>Data</b> engineer</div><p class='job x'>R&amp;D<br>two</p><i class=pay>5</i><div class='jobs'>no</div>"
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>none</p>")], "id int, html string")
+    found = text.html_class_rows(pages, "html", ["job", "pay", "absent"])
+    assert rows(found, "id", "row_index", "job", "pay", "absent") == [(1, 0, "Data engineer", "5", None), (1, 1, "R&Dtwo", None, None)]
+
+
+def test_boosting_stops_early(spark):
+    df = spark.range(400).selectExpr("cast(id % 20 AS double) AS x", "cast(id % 20 > 9 AS double) + rand(1) * 0.01 AS y")
+    model = models.train_regressor(df, ["x"], "y", rounds=30)
+    assert model.stages[-1].getNumTrees < 30
+    assert models.train_regressor(df.limit(1), ["x"], "y", rounds=2).stages[-1].getNumTrees >= 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,22 +29,31 @@ def read_parquet_folder(
     does. A plain read with that schema fails where a file stores long and the schema says
     double. Files are therefore grouped by their footer schema, each group is read with its
     own schema and cast, and the groups are united. Only footers are read on the driver; the
-    number of scans is the number of different schemas.
+    number of scans is the number of different schemas. Partition values in a folder's paths
+    (``key=value``) are columns like those in the files.
     """
     folders = [paths] if isinstance(paths, str) else list(paths)
-    files = sorted(spark.read.parquet(*folders).inputFiles()) if folders else []
+    files = [(folder, file) for folder in folders for file in sorted(spark.read.parquet(folder).inputFiles())]
     if not files:
         raise ValueError(f"no parquet files under {folders}")
+
+    def within(folder: str) -> DataFrameReader:
+        # a folder given by a pattern, or a single file, has no partition values above its files
+        plain = not any(c in folder for c in "*?[{") and not folder.endswith(".parquet")
+        return spark.read.option("basePath", folder) if plain else spark.read
+
     if isinstance(golden, StructType):
         schema = golden
+    elif golden:
+        schema = spark.read.parquet(golden).schema
     else:
-        schema = spark.read.parquet(golden or files[0]).schema
-    groups: dict[str, list[str]] = {}
-    for file in files:
-        groups.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+        schema = within(files[0][0]).parquet(files[0][1]).schema
+    groups: dict[tuple[str, str], list[str]] = {}
+    for folder, file in files:
+        groups.setdefault((folder, within(folder).parquet(file).schema.json()), []).append(file)
     out: DataFrame | None = None
-    for members in groups.values():
-        part = conform(spark.read.parquet(*members), schema)
+    for (folder, _), members in groups.items():
+        part = conform(within(folder).parquet(*members), schema)
         out = part if out is None else out.unionByName(part)
     assert out is not None
     return out

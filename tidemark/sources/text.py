@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -131,10 +133,54 @@ def element_texts(html: Column, tag: str) -> Column:
     return F.transform(found, lambda x: F.trim(F.regexp_replace(x, "<[^>]*>", "")))
 
 
-def class_texts(html: Column, name: str) -> Column:
-    """Text up to the next tag of every element that has the class ``name``."""
-    pattern = rf'(?is)<[a-z][a-z0-9]*\s[^>]*class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>([^<]*)'
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda x: F.trim(x))
+# fixed values: elements without an end tag
+VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+class _ClassTexts(HTMLParser):
+    """All text inside the elements of each class, in order of their start."""
+
+    def __init__(self, classes: Sequence[str]):
+        super().__init__(convert_charrefs=True)
+        self.classes = {name: i for i, name in enumerate(classes)}
+        self.found: list[list[list[str]]] = [[] for _ in classes]
+        self.open: list[tuple[str, list[list[str]]]] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        texts: list[list[str]] = []
+        for name in dict.fromkeys((dict(attrs).get("class") or "").split()):
+            if name in self.classes:
+                texts.append([])
+                self.found[self.classes[name]].append(texts[-1])
+        if tag not in VOID_ELEMENTS:
+            self.open.append((tag, texts))
+
+    def handle_endtag(self, tag: str) -> None:
+        for depth in range(len(self.open) - 1, -1, -1):
+            if self.open[depth][0] == tag:
+                del self.open[depth:]
+                return
+
+    def handle_data(self, data: str) -> None:
+        for _, texts in self.open:
+            for text in texts:
+                text.append(data)
+
+
+def class_texts(html: Column, classes: Sequence[str]) -> Column:
+    """An array for each class: the texts of the elements that have it, nested elements included."""
+
+    @F.pandas_udf("array<array<string>>")
+    def texts(pages: pd.Series) -> pd.Series:
+        out = []
+        for page in pages:
+            parser = _ClassTexts(classes)
+            parser.feed(page or "")
+            parser.close()
+            out.append([["".join(text).strip() for text in found] for found in parser.found])
+        return pd.Series(out)
+
+    return texts(html)
 
 
 def html_table_rows(
@@ -154,6 +200,7 @@ def html_table_rows(
 def html_class_rows(pages: DataFrame, html: str, classes: Sequence[str]) -> DataFrame:
     """Texts of several classes, put side by side by position; shorter lists end in nulls."""
     rest = [c for c in pages.columns if c != html]
-    zipped = F.arrays_zip(*[class_texts(F.col(html), c).alias(c) for c in classes])
-    rows = pages.select(*rest, F.posexplode(zipped).alias("row_index", "r"))
+    found = pages.select(*rest, class_texts(F.col(html), list(classes)).alias("_texts"))
+    zipped = F.arrays_zip(*[F.col("_texts")[i].alias(c) for i, c in enumerate(classes)])
+    rows = found.select(*rest, F.posexplode(zipped).alias("row_index", "r"))
     return rows.select(*rest, "row_index", *[F.col("r").getField(c).alias(c) for c in classes])
