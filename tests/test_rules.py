@@ -7,11 +7,12 @@ import math
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import models, quality, scorecard, series
+from tidemark.operators import models, quality, quantiles, scorecard, series
 from tidemark.sources import jdbc, parquet, text
 
 DAY = dt.date(2024, 5, 3)
@@ -97,3 +98,12 @@ def test_boosting_stops_early(spark):
     model = models.train_regressor(df, ["x"], "y", rounds=30)
     assert model.stages[-1].getNumTrees < 30
     assert models.train_regressor(df.limit(1), ["x"], "y", rounds=2).stages[-1].getNumTrees >= 1
+
+
+def test_an_outlier_does_not_crowd_the_percentiles(spark):
+    """Epoch seconds beside one huge value: exact ranks, and small windows."""
+    values = [1_700_000_000.0 + (i * 7919) % 20_000 for i in range(20_000)] + [1e18]
+    df = spark.createDataFrame([("k", v) for v in values] + [("k", None), ("one", 5.0)], "k string, v double")
+    got = {r.k: r.percentiles for r in quantiles.percentiles(df, "v", [0.0, 0.25, 0.5, 0.999, 1.0], ["k"]).collect()}
+    assert got["one"] == [5.0] * 5
+    assert got["k"] == pytest.approx(np.percentile(values, [0, 25, 50, 99.9, 100]).tolist(), rel=1e-12)

@@ -7,17 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 10_000  # equal-width ranges over all values
-STEPS_PER_OCTAVE = 1024  # finer ranges for keys whose values are much smaller than the largest
+from tidemark.session import cut_lineage
 
-
-def _value_range(v: Column, span: Column) -> Column:
-    """An ordered range id: equal width over the whole table, then by magnitude inside it."""
-    width = span.getField("hi") - span.getField("lo")
-    wide = F.coalesce(F.floor(F.try_divide(v - span.getField("lo"), width) * RANGES), F.lit(0))
-    sign = F.signum(v)
-    fine = sign * F.floor(F.coalesce(F.log2(F.abs(v)), F.lit(0.0)) * STEPS_PER_OCTAVE)
-    return F.struct(wide.alias("wide"), sign.alias("sign"), fine.alias("fine"))
+ACCURACY = 10_000  # the sketch's rank error is 1 / ACCURACY of the rows
+RANGES = 1024  # equal-width ranges within a bracket
 
 
 def _rank_at(p: float) -> tuple[Column, Column, Column]:
@@ -34,38 +27,62 @@ def approximate_percentiles(
     return df.groupBy(*keys).agg(found.alias("percentiles"))
 
 
+def _brackets(known: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(keys, total, brackets): for each probability values below and above its ranks, from one sketch."""
+    margin = 2 / ACCURACY
+    edges = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-margin, margin)]
+    found = known.groupBy(*keys).agg(F.count("v").alias("total"), F.percentile_approx("v", edges, ACCURACY).alias("e"))
+    brackets = [
+        F.struct(F.lit(i).alias("i"), F.col("e")[2 * i].alias("lo"), F.col("e")[2 * i + 1].alias("hi"))
+        for i in range(len(probabilities))
+    ]
+    return found.select(*keys, "total", F.array(*brackets).alias("brackets"))
+
+
 def percentiles(
     df: DataFrame, value: str, probabilities: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated percentiles, one array column ``percentiles`` per key.
 
-    Equal values are counted together first, then counts are added up per value range; a key
-    has some ten thousand ranges at most. Only the few that hold a wanted rank are joined back
-    and ordered, each in a window of its own. The built-in exact aggregate would keep all
-    distinct values of a key in one buffer.
+    A mergeable sketch gives each wanted rank a bracket of values around it, some ten-thousandths
+    of a key's rows. Rows below a bracket are only counted. Equal values inside are counted together,
+    then added up in ranges of equal width, and the few ranges that hold a wanted rank are
+    ordered, each in a window of its own. Where the other values lie does not matter. The built-in
+    exact aggregate would keep all distinct values of a key in one buffer.
     """
     keys = list(keys)
-    v = F.col(value).cast("double").alias("v")
-    counts = df.select(*keys, v).where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count("*").alias("n"))
-    span = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    placed = counts.withColumn("span", span).withColumn("range", _value_range(F.col("v"), F.col("span"))).drop("span")
-
-    per_range = placed.groupBy(*keys, "range").agg(F.sum("n").alias("bn"))
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_range.withColumn("total", F.sum("bn").over(whole)).withColumn(
-        "start", F.coalesce(F.sum("bn").over(before), F.lit(0))
+    known = df.select(*keys, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    brackets = cut_lineage(_brackets(known, keys, probabilities))
+    if keys:
+        same = [known[k].eqNullSafe(brackets[k]) for k in keys]
+        joined = known.join(brackets, same).select(*[known[k] for k in keys], "v", "total", "brackets")
+    else:
+        joined = known.crossJoin(F.broadcast(brackets))  # one row
+    met = F.filter("brackets", lambda b: F.col("v") <= b["hi"])
+    each = joined.select(*keys, "v", "total", F.explode(met).alias("b")).select(*keys, "v", "total", "b.*")
+    # a value below the bracket counts for it as one range before all others
+    wide = F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * RANGES)
+    below = F.col("v") < F.col("lo")
+    placed = each.select(
+        *keys, "i", "total", F.when(below, F.lit(-1)).otherwise(wide).alias("range"), F.when(~below, F.col("v")).alias("v")
     )
-    ranks = F.array_distinct(F.array(*[r for p in probabilities for r in _rank_at(p)[:2]]))
-    inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
-    wanted = starts.withColumn("ranks", inside).where(F.size("ranks") > 0)
+    counts = cut_lineage(placed.groupBy(*keys, "i", "range", "v").agg(F.count("*").alias("n"), F.max("total").alias("total")))
 
-    within = Window.partitionBy(*keys, "range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed.join(wanted.select(*keys, "range", "start", "total", "ranks"), [*keys, "range"]).withColumn(
-        "first_rank", F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0))
-    )
+    per_range = counts.groupBy(*keys, "i", "range").agg(F.sum("n").alias("bn"), F.max("total").alias("total"))
+    before = Window.partitionBy(*keys, "i").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_range.withColumn("start", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+    ranks = F.array(*[F.array(*_rank_at(p)[:2]) for p in probabilities])[F.col("i")]
+    inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
+    wanted = starts.where("range >= 0").withColumn("ranks", inside).where(F.size("ranks") > 0)
+
+    at = [*keys, "i", "range"]
+    within = Window.partitionBy(*at).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ours, theirs = counts.alias("a"), wanted.select(*at, "start", "ranks").alias("b")
+    met = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in at]
+    ordered = ours.join(theirs, met).select(*[F.col(f"a.{k}").alias(k) for k in at], "v", "n", "total", "start", "ranks")
+    ordered = ordered.withColumn("first_rank", F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0)))
     hits = F.filter("ranks", lambda r: (r >= F.col("first_rank")) & (r < F.col("first_rank") + F.col("n")))
-    at_rank = ordered.select(*keys, "total", "v", F.explode(hits).alias("rank"))
+    at_rank = ordered.select(*keys, "total", "v", F.explode(hits).alias("rank")).distinct()
     found = at_rank.groupBy(*keys).agg(
         F.first("total").alias("total"),
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("by_rank"),
