@@ -33,18 +33,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def one_row_each(df: DataFrame, key: Column) -> DataFrame:
-    """``df`` with one row for each value of ``key``, which few rows share.
-
-    Rows whose key occurs once pass without being shuffled; only the others are grouped.
-    """
-    name = free_name(df, "again")
-    again = df.groupBy(key.alias(name)).agg(F.count("*").alias("n")).where("n > 1").select(name)
-    once = df.join(again, key.eqNullSafe(F.col(name)), "left_anti")
-    repeated = df.join(again, key.eqNullSafe(F.col(name)), "left_semi").withColumn(name, key)
-    return once.unionByName(repeated.dropDuplicates([name]).drop(name))
-
-
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within it, jobs that start send at most ``rows`` rows in an Arrow batch: texts may be long."""

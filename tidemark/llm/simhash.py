@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import free_name, one_row_each
+from tidemark.llm.common import free_name
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -93,7 +93,7 @@ def links(fingerprints: DataFrame) -> DataFrame:
     fingerprints to the smallest of them, at most 64 rows a fingerprint.
     """
     probes = fingerprints.select("fingerprint", F.explode(_ball(F.col("fingerprint"))).alias("probe"))
-    probes = probes.repartition("probe")
+    probes = probes.where("fingerprint IS NOT NULL AND probe IS NOT NULL").repartition("probe")  # one shuffle for both readings
     shared = probes.groupBy("probe").agg(F.min("fingerprint").alias("first"), F.max("fingerprint").alias("last"))
     matches = probes.join(shared.where("first < last").select("probe", "first"), "probe").where("fingerprint <> first")
     verified = matches.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("first"))) <= MAX_DISTANCE)
@@ -160,8 +160,13 @@ def keep_one(
     others = [f"view{i}" for i in range(1, views)]
     prints = cut_lineage(with_fingerprints(known, "text", ["fingerprint", *others], width, seed).drop("text"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
-    kept = prints.join(classes(prints, others), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
-    name = free_name(docs, "kept")
-    kept = kept.select(F.struct("row.id", "row.hash").alias(name))
-    key = F.struct(F.col(id).alias("id"), text_hash.alias("hash"))
-    return one_row_each(docs.join(kept, key.eqNullSafe(F.col(name)), "left_semi"), key)
+    first = prints.join(classes(prints, others), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
+    first = first.select(F.struct("row.id", "row.hash").alias("row"))
+    rows = prints.groupBy(F.struct("id", "hash").alias("row")).agg(F.count("*").alias("n"))
+    key, kept, repeats = (free_name(docs, name) for name in ("key", "kept", "repeats"))
+    chosen = cut_lineage(first.join(rows, "row").select(F.col("row").alias(kept), F.col("n").alias(repeats)))
+    # structs are equal if their nulls are; both branches read one shuffle of the documents
+    keyed = docs.withColumn(key, F.struct(F.col(id).alias("id"), text_hash.alias("hash")))
+    found = keyed.join(chosen, F.col(key) == F.col(kept))
+    once, again = found.where(F.col(repeats) == 1), found.where(F.col(repeats) > 1).dropDuplicates([key])
+    return once.unionByName(again).select(*docs.columns)
