@@ -8,6 +8,7 @@ from it. Content is normalised only as far as counts cannot change: null becomes
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -75,6 +76,7 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
 def _encode(misses: DataFrame, tokenizer: str, version: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core; threads would each keep memory
         count = counter(tokenizer)
         for batch in batches:
             for start in range(0, batch.num_rows, 100):
