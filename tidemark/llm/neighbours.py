@@ -10,7 +10,6 @@ of k per query, and the heaps are merged.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
