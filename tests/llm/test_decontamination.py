@@ -73,3 +73,49 @@ def test_tokens_and_seeds():
     a, b = known.of("a b c d e f g h"), known.of("a b c X e f g h")
     common = set(seeds(a)[1].tolist()) & set(seeds(b)[1].tolist())
     assert common and all(len(m) <= MIN_TOKENS for m in MASKS)
+
+
+def is_copy(same, n_item):
+    """The rule itself, over every stretch: a whole item or 13 tokens and more, with 80 %."""
+    spans = [(i, j) for i in range(len(same)) for j in range(i + 13, len(same) + 1)]
+    return 5 * sum(same) >= 4 * n_item or any(5 * sum(same[i:j]) >= 4 * (j - i) for i, j in spans)
+
+
+def test_overlap_finds_every_stretch_of_the_rule():
+    """Maximal-sum stretches are shorter than the longest with 80 %: 12 matching, 1 changed, 4 matching tokens were lost."""
+    rng = random.Random(5)
+    cases = [[1] * 12 + [0] + [1] * 4, [1] * 4 + [0] + [1] * 12, ([1] * 4 + [0]) * 3 + [1] * 4]
+    cases += [[int(rng.random() < p) for _ in range(rng.randrange(1, 45))] for p in (0.6, 0.7, 0.75, 0.8, 0.85) for _ in range(300)]
+    for same in cases:
+        around = [0] * rng.randrange(9) + same + [0] * rng.randrange(9)
+        found = overlap(np.ones(len(around)), np.array(around), 60)
+        assert (found is not None) == is_copy(around, 60), around
+        if found:
+            whole = 5 * sum(around) >= 4 * 60
+            lengths = [j - i for i in range(len(around)) for j in range(i + 1, len(around) + 1) if 5 * sum(around[i:j]) >= 4 * (j - i)]
+            assert found[1] == (60 if whole else max(lengths)) and 5 * found[0] >= 4 * found[1]
+
+
+def test_changed_parts_of_items_are_found(spark):
+    """Parts of long items with changed tokens, against a check of all alignments by the rule itself."""
+    rng = random.Random(6)
+    items = [(i, passage(rng, 60)) for i in range(8)]
+    docs = []
+    for d in range(48):
+        part = list(rng.choice(items)[1][20 : 20 + rng.choice([14, 16, 17, 18, 20])])
+        for k in [12] if len(part) == 17 else rng.sample(range(len(part)), len(part) // 8):
+            part[k] = "changed"
+        words = passage(rng, 40)
+        words[9:9] = part
+        docs.append((d, words))
+    want = set()
+    for d, words in docs:
+        for i, item in items:
+            for shift in range(-len(item) + 1, len(words)):
+                a, b = max(-shift, 0), max(shift, 0)
+                same = [x == y for x, y in zip(item[a:], words[b:])]
+                if sum(same) > 9 and is_copy(same, len(item)):
+                    want.add((d, i))
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert len(want) == len(docs) and {(r.doc_id, r.item_id) for r in leaks(table, bench).collect()} == want

@@ -151,15 +151,17 @@ def overlap(item: np.ndarray, text: np.ndarray, n_item: int) -> tuple[int, int]
     """(matching tokens, length) of the overlap of aligned tokens, or None if it is no copy.
 
     ``item`` and ``text`` are aligned and cut to where both have tokens. A copy is a whole item
-    with 80 % of its tokens, or a stretch of ``MIN_STRETCH`` tokens in which 80 % match.
+    with 80 % of its tokens, or a stretch of ``MIN_STRETCH`` or more tokens in which 80 % match; the
+    longest such stretch is returned.
     """
     same = item == text
     if same.sum() >= SIMILARITY * n_item:
         return int(same.sum()), n_item
+    # a stretch has 80 % if the steps do not fall from its start to its end; the first start at or below an end is a new minimum
     steps = np.concatenate(([0], np.cumsum(np.where(same, 1, -_PENALTY))))
-    lowest = np.minimum.accumulate(steps)
-    end = int(np.argmax(steps - lowest))
-    start = int(np.argmin(steps[: end + 1]))
+    starts = np.searchsorted(-np.minimum.accumulate(steps), -steps)
+    end = int(np.argmax(np.arange(len(steps)) - starts))
+    start = int(starts[end])
     return (int(same[start:end].sum()), end - start) if end - start >= MIN_STRETCH else None
 
 
