@@ -11,7 +11,7 @@ only seeds which may have a partner are shuffled. A full table lets more pass, n
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +23,25 @@ from tidemark.session import cut_lineage
 
 #: Kept token positions of a window; the spans are at most MIN_TOKENS.
 MASKS = ("1110111", "11011011", "11101101", "10110111")
-MIN_TOKENS = 8  # items with fewer tokens take no part: they occur by chance
+#: With these, some seed hits every pattern of up to 20 % differing tokens in 8 to 25 tokens, and longer
+#: stretches with 80 % hold one of 13 to 25.
+WIDE_MASKS = ("1110000111", "1110100011", "1100011011")
+MIN_TOKENS = 8  # items with fewer tokens are copied only whole and without a change
 MIN_STRETCH = 13  # tokens of a copied stretch that is not a whole item
 SIMILARITY = 0.8
 FILTER_BITS = 24  # the bit table has 2**24 bits, 2 MB; a seed sets one bit by its low and one by its next bits
 _PENALTY = 4  # of a differing token, at a similarity of 0.8
-_SEPARATORS = re.compile("[\\u00a0-\\u00a9\\u00ab-\\u00b1\\u00b4-\\u00b8\\u00bb\\u00bf\\u2000-\\u206f\\u3000-\\u303f]")  # non-ASCII spaces and marks
+#: Non-ASCII spaces and marks, with full-width and small forms.
+_SEPARATORS = re.compile(
+    "[\\u00a0-\\u00a9\\u00ab-\\u00b1\\u00b4-\\u00b8\\u00bb\\u00bf\\u2000-\\u206f\\u3000-\\u3004\\u3008-\\u3020\\u3030\\u303d-\\u303f"
+    "\\u30fb\\ufe10-\\ufe19\\ufe30-\\ufe6f\\ufeff\\uff01-\\uff0f\\uff1a-\\uff20\\uff3b-\\uff40\\uff5b-\\uff65\\uffe0-\\uffee]"
+)
+#: Letters of scripts without spaces between words (Thai, Lao, Burmese, Khmer, kana, Han), each with the marks after it.
+_UNSPACED = re.compile(
+    "[\\u0e01-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3005-\\u3007\\u3021-\\u302f\\u3031-\\u303c\\u3041-\\u30ff\\u31f0-\\u31ff"
+    "\\u3400-\\u4dbf\\u4e00-\\u9fff\\uf900-\\ufaff\\uff66-\\uff9f\\U00020000-\\U0003ffff]"
+    "[\\u0e31\\u0e34-\\u0e3a\\u0e47-\\u0e4e\\u0eb1\\u0eb4-\\u0ebc\\u0ec8-\\u0ece\\u102b-\\u103e\\u17b4-\\u17d3\\u3099\\u309a\\uff9e\\uff9f]*"
+)
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -40,7 +53,10 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """Token hashes of texts: runs of ASCII letters, digits and non-ASCII characters, lower-cased."""
+    """Token hashes of texts: runs of ASCII letters, digits and non-ASCII characters, lower-cased.
+
+    Where words are not parted by spaces, every character is a token.
+    """
 
     def __init__(self) -> None:
         self.word = np.array([chr(b).isalnum() or b >= 128 for b in range(256)])
@@ -58,7 +74,7 @@ class Tokens:
     def of(self, text: str | None) -> np.ndarray:
         text = (text or "").lower()
         if not text.isascii():
-            text = _SEPARATORS.sub(" ", text)
+            text = _UNSPACED.sub(r" \g<0> ", _SEPARATORS.sub(" ", text))
         data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
         self._powers(len(data) + 1)
         edges = np.flatnonzero(np.diff(np.concatenate(([False], self.word[data], [False])).astype(np.int8)))
@@ -71,7 +87,7 @@ class Tokens:
 def seeds(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of all seeds of a token sequence, mask by mask."""
     places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(MASKS + WIDE_MASKS):
         n = len(tokens) - len(mask) + 1
         if n > 0:
             h = np.full(n, number + 1, dtype=np.uint64)
@@ -82,14 +98,29 @@ def seeds(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def short_seeds(tokens: np.ndarray, lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """First positions and hashes of all runs of the given lengths under ``MIN_TOKENS``."""
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for length in lengths:
+        n = len(tokens) - length + 1
+        if n > 0:
+            h = np.full(n, -length % (1 << 64), dtype=np.uint64)
+            for offset in range(length):
+                h = h * np.uint64(_BASE) + tokens[offset : offset + n]
+            different, first = np.unique(_mixed(h), return_index=True)
+            places.append(first)
+            hashes.append(different)
+    return np.concatenate(places), np.concatenate(hashes)
+
+
 def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
-    """(item, tokens, positions, hashes) of benchmark items with enough tokens."""
+    """(item, tokens, positions, hashes) of benchmark items with tokens."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Tokens()
         for batch in batches:
             tokens = [known.of(value.as_py()) for value in batch.column(1)]
-            found = [seeds(t) for t in tokens]
+            found = [seeds(t) if len(t) >= MIN_TOKENS else short_seeds(t, [len(t)] if len(t) else []) for t in tokens]
             arrays = [
                 batch.column(0),
                 pa.array([t.view(np.int64) for t in tokens], pa.list_(pa.int64())),
@@ -102,7 +133,7 @@ def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
     named = benchmark.select(F.col(id).alias("item"), F.col(text).alias("text")).distinct()
     return named.mapInArrow(
         read, f"item {kind}, tokens array<long>, positions array<long>, hashes array<long>"
-    ).where(F.size("tokens") >= MIN_TOKENS)
+    ).where(F.size("tokens") > 0)
 
 
 def _bit_table(hashes: DataFrame) -> bytes:
@@ -121,8 +152,11 @@ def _is_set(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (table[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
 
 
-def _training_hits(texts: DataFrame, table: bytes) -> DataFrame:
-    """(k1, k2, tokens, positions, hashes) of the texts of which a seed is in the bit table."""
+def _training_hits(texts: DataFrame, table: bytes, short: Sequence[int]) -> DataFrame:
+    """(k1, k2, tokens, positions, hashes) of the texts of which a seed is in the bit table.
+
+    ``short`` are the lengths of the items under ``MIN_TOKENS``.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +165,7 @@ def _training_hits(texts: DataFrame, table: bytes) -> DataFrame:
             rows, tokens, positions, hashes = [], [], [], []
             for row, value in enumerate(batch.column("text")):
                 own = known.of(value.as_py())
-                at, h = seeds(own)
+                at, h = map(np.concatenate, zip(seeds(own), short_seeds(own, short)))
                 hit = _is_set(bits, h)
                 hit[hit] = _is_set(bits, h[hit] >> np.uint64(FILTER_BITS))
                 if hit.any():
@@ -151,10 +185,12 @@ def overlap(item: np.ndarray, text: np.ndarray, n_item: int) -> tuple[int, int]
     """(matching tokens, length) of the overlap of aligned tokens, or None if it is no copy.
 
     ``item`` and ``text`` are aligned and cut to where both have tokens. A copy is a whole item
-    with 80 % of its tokens, or a stretch of ``MIN_STRETCH`` or more tokens in which 80 % match; the
+    with 80 % of its tokens (all of them under ``MIN_TOKENS``), or a stretch of ``MIN_STRETCH`` or more tokens in which 80 % match; the
     longest such stretch is returned.
     """
     same = item == text
+    if n_item < MIN_TOKENS:
+        return (n_item, n_item) if same.sum() == n_item else None
     if same.sum() >= SIMILARITY * n_item:
         return int(same.sum()), n_item
     # a stretch has 80 % if the steps do not fall from its start to its end; the first start at or below an end is a new minimum
@@ -196,7 +232,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     )
     k1, k2 = text_keys(text)
     known = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text"))
-    hits = cut_lineage(_training_hits(known, _bit_table(planted.select("h").distinct())))
+    n_tokens = F.size("tokens")
+    short = [r.n for r in items.where(n_tokens < MIN_TOKENS).select(n_tokens.alias("n")).distinct().collect()]
+    hits = cut_lineage(_training_hits(known, _bit_table(planted.select("h").distinct()), sorted(short)))
     spots = hits.select("k1", "k2", F.explode(F.arrays_zip("positions", "hashes")).alias("s")).select(
         "k1", "k2", F.col("s.positions").alias("pos"), F.col("s.hashes").alias("h")
     )
@@ -221,8 +259,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
     """(id, item, matched, length) for every row of ``docs`` and every item that it copies.
 
     ``length`` is the number of aligned tokens of the best overlap, ``matched`` how many agree.
-    Null texts count as empty and copy nothing; items with fewer than ``MIN_TOKENS`` tokens take
-    no part. Repeated rows of ``docs`` give repeated rows, repeated items count once. An empty
+    Null texts count as empty and copy nothing; items with fewer than ``MIN_TOKENS`` tokens are
+    copied where they occur unchanged, items without tokens are not. Repeated rows of ``docs`` give repeated rows, repeated items count once. An empty
     table on either side gives no rows. Other columns are not read.
     """
     found = contaminated_texts(docs, benchmark, text, item, item_text)
