@@ -14,15 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, mixing, sharding, simhash
+from tidemark.llm import decontamination, language_id, mixing, sharding, similar
 from tidemark.llm.common import word_count
 from tidemark.llm.queries import LEAST_CONFIDENCE, MIX_TILTS, MIX_WEIGHTS, SHARDS
 from tidemark.session import cut_lineage, table
 
-#: Independent fingerprints in which near copies are looked for: one finds half of the copies that
-#: share 95 % of their shingles, four find nine in ten of them.
-NEAR_VIEWS = 4
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -36,8 +32,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near duplicates stays, repeated rows once."""
-    return simhash.keep_one(docs, views=NEAR_VIEWS)
+    """The document with the smallest id of each class that shares 80 % of its five-word shingles stays, repeated rows once."""
+    return similar.keep_one_similar(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,6 +145,22 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     )
 
 
+def first_rows(docs: DataFrame, rooted: DataFrame, id: str, text: str) -> DataFrame:
+    """The row of ``docs`` that stays of each ``root`` of ``rooted`` (id, hash, root), as told in ``keep_one``."""
+    text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    first = rooted.groupBy("root").agg(F.min(order).alias("row"))
+    first = first.select(F.struct("row.id", "row.hash").alias("row"))
+    rows = rooted.groupBy(F.struct("id", "hash").alias("row")).agg(F.count("*").alias("n"))
+    key, kept, repeats = (free_name(docs, name) for name in ("key", "kept", "repeats"))
+    chosen = cut_lineage(first.join(rows, "row").select(F.col("row").alias(kept), F.col("n").alias(repeats)))
+    # structs are equal if their nulls are; both branches read one shuffle of the documents
+    keyed = docs.withColumn(key, F.struct(F.col(id).alias("id"), text_hash.alias("hash")))
+    found = keyed.join(chosen, F.col(key) == F.col(kept))
+    once, again = found.where(F.col(repeats) == 1), found.where(F.col(repeats) > 1).dropDuplicates([key])
+    return once.unionByName(again).select(*docs.columns)
+
+
 def keep_one(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42, views: int = 1
 ) -> DataFrame:
@@ -159,14 +175,4 @@ def keep_one(
     known = docs.select(F.col(id).alias("id"), text_hash.alias("hash"), F.col(text).alias("text"))
     others = [f"view{i}" for i in range(1, views)]
     prints = cut_lineage(with_fingerprints(known, "text", ["fingerprint", *others], width, seed).drop("text"))
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
-    first = prints.join(classes(prints, others), "fingerprint").groupBy("root").agg(F.min(order).alias("row"))
-    first = first.select(F.struct("row.id", "row.hash").alias("row"))
-    rows = prints.groupBy(F.struct("id", "hash").alias("row")).agg(F.count("*").alias("n"))
-    key, kept, repeats = (free_name(docs, name) for name in ("key", "kept", "repeats"))
-    chosen = cut_lineage(first.join(rows, "row").select(F.col("row").alias(kept), F.col("n").alias(repeats)))
-    # structs are equal if their nulls are; both branches read one shuffle of the documents
-    keyed = docs.withColumn(key, F.struct(F.col(id).alias("id"), text_hash.alias("hash")))
-    found = keyed.join(chosen, F.col(key) == F.col(kept))
-    once, again = found.where(F.col(repeats) == 1), found.where(F.col(repeats) > 1).dropDuplicates([key])
-    return once.unionByName(again).select(*docs.columns)
+    return first_rows(docs, prints.join(classes(prints, others), "fingerprint"), id, text)
