@@ -8,6 +8,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -107,3 +108,21 @@ def test_an_outlier_does_not_crowd_the_percentiles(spark):
     got = {r.k: r.percentiles for r in quantiles.percentiles(df, "v", [0.0, 0.25, 0.5, 0.999, 1.0], ["k"]).collect()}
     assert got["one"] == [5.0] * 5
     assert got["k"] == pytest.approx(np.percentile(values, [0, 25, 50, 99.9, 100]).tolist(), rel=1e-12)
+
+
+def test_percentiles_of_any_group_size(spark):
+    """Ties, odd sizes and sizes around the border between whole ranges and sketch brackets."""
+    sizes, wanted = [1, 2, 3, 100, 101, 999, 9_999, 30_001], [0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.999, 1.0]
+    values = {n: np.random.default_rng(n).integers(0, max(2, 2 * n // 3), n) / 8 for n in sizes}
+    df = spark.createDataFrame(pd.DataFrame([(n, v) for n in sizes for v in values[n]], columns=["k", "v"]))
+    got = {r.k: r.percentiles for r in quantiles.percentiles(df, "v", wanted, ["k"]).collect()}
+    assert sorted(got) == sizes
+    for n in sizes:
+        np.testing.assert_allclose(got[n], np.percentile(values[n], [100 * p for p in wanted]), rtol=1e-12, err_msg=str(n))
+
+
+@pytest.mark.parametrize("n", [101, 999])
+def test_binning_of_small_tables(spark, n):
+    df = spark.range(n).selectExpr("cast(id AS double) AS x", "CASE WHEN (id * 7) % 10 < 3 + 4 * id / {0} THEN 1 ELSE 0 END AS y".format(n))
+    bins = scorecard.optimal_binning(df, "x", "y").collect()
+    assert len(bins) >= 2 and sum(r.good + r.bad for r in bins) == n

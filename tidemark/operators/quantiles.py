@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 ACCURACY = 10_000  # the sketch's rank error is 1 / ACCURACY of the rows
+SMALL = 3 * ACCURACY  # below, a margin of 2 / ACCURACY of the rows may be less than the two ranks between which one interpolates
 RANGES = 1024  # equal-width ranges within a bracket
 
 
@@ -28,12 +29,24 @@ def approximate_percentiles(
 
 
 def _brackets(known: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(keys, total, brackets): for each probability values below and above its ranks, from one sketch."""
+    """(keys, total, brackets): for each probability, ascending, values below and above its ranks, from one sketch.
+
+    In a group of fewer than ``SMALL`` rows the brackets reach from the least to the largest value.
+    """
     margin = 2 / ACCURACY
     edges = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-margin, margin)]
-    found = known.groupBy(*keys).agg(F.count("v").alias("total"), F.percentile_approx("v", edges, ACCURACY).alias("e"))
+    found = known.groupBy(*keys).agg(
+        F.count("v").alias("total"),
+        F.percentile_approx("v", edges, ACCURACY).alias("e"),
+        F.min("v").alias("least"),
+        F.max("v").alias("most"),
+    )
+    few = F.col("total") < SMALL
     brackets = [
-        F.struct(F.lit(i).alias("i"), F.col("e")[2 * i].alias("lo"), F.col("e")[2 * i + 1].alias("hi"))
+        F.struct(
+            F.when(few, F.col("least")).otherwise(F.col("e")[2 * i]).alias("lo"),
+            F.when(few, F.col("most")).otherwise(F.col("e")[2 * i + 1]).alias("hi"),
+        )
         for i in range(len(probabilities))
     ]
     return found.select(*keys, "total", F.array(*brackets).alias("brackets"))
@@ -45,44 +58,49 @@ def percentiles(
     """Linearly interpolated percentiles, one array column ``percentiles`` per key.
 
     A mergeable sketch gives each wanted rank a bracket of values around it, some ten-thousandths
-    of a key's rows. Rows below a bracket are only counted. Equal values inside are counted together,
-    then added up in ranges of equal width, and the few ranges that hold a wanted rank are
-    ordered, each in a window of its own. Where the other values lie does not matter. The built-in
-    exact aggregate would keep all distinct values of a key in one buffer.
+    of a key's rows. One aggregate counts the rows between brackets and each different value
+    inside one. Values inside are added up in ranges of equal width, and the few ranges that hold
+    a wanted rank are ordered, each in a window of its own. Where the other values lie does not
+    matter. The built-in exact aggregate would keep all distinct values of a key in one buffer.
     """
     keys = list(keys)
     known = df.select(*keys, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    brackets = cut_lineage(_brackets(known, keys, probabilities))
+    brackets = _brackets(known, keys, sorted(set(probabilities)))
     if keys:
-        same = [known[k].eqNullSafe(brackets[k]) for k in keys]
-        joined = known.join(brackets, same).select(*[known[k] for k in keys], "v", "total", "brackets")
+        same = [F.col(f"x.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+        joined = known.alias("x").join(brackets.alias("b"), same).select("x.*", "total", "brackets")
     else:
         joined = known.crossJoin(F.broadcast(brackets))  # one row
-    met = F.filter("brackets", lambda b: F.col("v") <= b["hi"])
-    each = joined.select(*keys, "v", "total", F.explode(met).alias("b")).select(*keys, "v", "total", "b.*")
-    # a value below the bracket counts for it as one range before all others
-    wide = F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * RANGES)
-    below = F.col("v") < F.col("lo")
-    placed = each.select(
-        *keys, "i", "total", F.when(below, F.lit(-1)).otherwise(wide).alias("range"), F.when(~below, F.col("v")).alias("v")
+    # brackets ascend, so a value inside one is inside the first that it is not above; the rows
+    # that lie outside all and below the same number of brackets come before that one's values
+    gap = F.size(F.filter("brackets", lambda b: b["hi"] < F.col("v")))
+    near = F.get("brackets", gap)
+    inside = F.coalesce(near["lo"] <= F.col("v"), F.lit(False))
+    part = F.try_divide(F.col("v") - near["lo"], near["hi"] - near["lo"])
+    wide = F.floor(F.coalesce(part, F.lit(0.0)) * RANGES)
+    placed = joined.select(
+        *keys,
+        "total",
+        (gap * (RANGES + 2) + F.when(inside, wide + 1).otherwise(F.lit(0))).alias("range"),
+        F.when(inside, F.col("v")).alias("v"),
     )
-    counts = cut_lineage(placed.groupBy(*keys, "i", "range", "v").agg(F.count("*").alias("n"), F.max("total").alias("total")))
+    counts = cut_lineage(placed.groupBy(*keys, "range", "v").agg(F.count("*").alias("n"), F.max("total").alias("total")))
 
-    per_range = counts.groupBy(*keys, "i", "range").agg(F.sum("n").alias("bn"), F.max("total").alias("total"))
-    before = Window.partitionBy(*keys, "i").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = counts.groupBy(*keys, "range").agg(F.sum("n").alias("bn"), F.max("total").alias("total"))
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_range.withColumn("start", F.coalesce(F.sum("bn").over(before), F.lit(0)))
-    ranks = F.array(*[F.array(*_rank_at(p)[:2]) for p in probabilities])[F.col("i")]
-    inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
-    wanted = starts.where("range >= 0").withColumn("ranks", inside).where(F.size("ranks") > 0)
+    ranks = F.array_distinct(F.array(*[r for p in probabilities for r in _rank_at(p)[:2]]))
+    held = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("bn")))
+    wanted = starts.withColumn("ranks", held).where(F.size("ranks") > 0)
 
-    at = [*keys, "i", "range"]
+    at = [*keys, "range"]
     within = Window.partitionBy(*at).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ours, theirs = counts.alias("a"), wanted.select(*at, "start", "ranks").alias("b")
     met = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in at]
     ordered = ours.join(theirs, met).select(*[F.col(f"a.{k}").alias(k) for k in at], "v", "n", "total", "start", "ranks")
     ordered = ordered.withColumn("first_rank", F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0)))
     hits = F.filter("ranks", lambda r: (r >= F.col("first_rank")) & (r < F.col("first_rank") + F.col("n")))
-    at_rank = ordered.select(*keys, "total", "v", F.explode(hits).alias("rank")).distinct()
+    at_rank = ordered.select(*keys, "total", "v", F.explode(hits).alias("rank"))
     found = at_rank.groupBy(*keys).agg(
         F.first("total").alias("total"),
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("by_rank"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.quantiles import percentiles
+from tidemark.session import cut_lineage
 
 
 def bin_index(value: Column, edges: Column) -> Column:
@@ -115,13 +116,14 @@ def optimal_binning(
     """
     fine_bins = num_bins * bin_multiplier
     known = df.where(F.col(feature).isNotNull())
-    points = percentiles(known, feature, [i / fine_bins for i in range(1, fine_bins)])
+    points = cut_lineage(percentiles(known, feature, [i / fine_bins for i in range(1, fine_bins)]))  # one row
     cuts = points.select("percentiles").scalar()
     y = F.col(target).cast("long")
     placed = known.select(feature, target).withColumn("cuts", cuts)
     fine = placed.groupBy(bin_index(F.col(feature), F.col("cuts")).alias("fine")).agg(
         F.sum(y).alias("good"), F.sum(1 - y).alias("bad")
     )
+    fine = cut_lineage(fine)
     # num_bins * bin_multiplier rows and cut points at most
     seen = {r["fine"]: (r["good"], r["bad"]) for r in fine.collect()}
     at = points.select("percentiles").first()
