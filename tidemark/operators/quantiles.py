@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,8 +75,9 @@ def percentiles(
         joined = known.crossJoin(F.broadcast(brackets))  # one row
     # brackets ascend, so a value inside one is inside the first that it is not above; the rows
     # that lie outside all and below the same number of brackets come before that one's values
-    gap = F.size(F.filter("brackets", lambda b: b["hi"] < F.col("v")))
-    near = F.get("brackets", gap)
+    above = [(F.col("brackets")[i]["hi"] < F.col("v")).cast("int") for i in range(len(set(probabilities)))]
+    joined = joined.withColumn("gap", reduce(add, above))
+    gap, near = F.col("gap"), F.get("brackets", "gap")
     inside = F.coalesce(near["lo"] <= F.col("v"), F.lit(False))
     part = F.try_divide(F.col("v") - near["lo"], near["hi"] - near["lo"])
     wide = F.floor(F.coalesce(part, F.lit(0.0)) * RANGES)
