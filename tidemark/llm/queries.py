@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_quotes, decontamination, language_id, main_text, mixing, neighbours, repeats, sharding, simhash, token_counts
+from tidemark.llm import (
+    centroids,
+    chat_quotes,
+    decontamination,
+    language_id,
+    lines,
+    main_text,
+    mixing,
+    neighbours,
+    ranking,
+    repeats,
+    sharding,
+    simhash,
+    token_counts,
+)
 from tidemark.llm.common import word_count
 from tidemark.session import scratch, table
 
@@ -16,6 +30,9 @@ LEAST_CONFIDENCE = 0.5
 SHARDS = 24
 REPEATED_BYTES = 400
 QUERY_STEP, NEIGHBOURS = 100, 10
+BEST_DOCUMENTS = 20
+CENTROIDS, ROUNDS, CENTROID_SEED = 40, 5, "2"
+LINE_LENGTH, LINE_DOCUMENTS = 40, 5
 MIX_WEIGHTS, MIX_TILTS = (1.0, 2.0, 3.0), (0.0, 0.5, -0.5)
 
 
@@ -117,6 +134,90 @@ def op10_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), BEST_DOCUMENTS)
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id,
+               unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM documents)),
+tfs AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT r, sum(tf)::BIGINT AS n FROM tfs GROUP BY 1),
+totals AS (SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM lengths),
+norms AS (SELECT r, 75 + (25 * n * documents) // terms AS m FROM lengths, totals),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs, totals GROUP BY term),
+asked AS (
+  SELECT i, item_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT row_number() OVER () AS i, item_id,
+               unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+        FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+scored AS (
+  SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (r) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.cluster(table(spark, folder, "embeddings"), CENTROIDS, ROUNDS, CENTROID_SEED)
+    return found.drop("centroid")
+
+
+def _op12_sql() -> str:
+    """The rounds one after the other: ``a`` assigns vectors, ``c`` moves centroids."""
+    parts = [
+        """kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), r) - 1 AS c, v FROM kept ORDER BY sha256('2:' || vec_id), r LIMIT 40)""",
+    ]
+    for i in range(ROUNDS + 1):
+        parts.append(f"""a{i} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d) AS d, arg_min(c, d * 64 + c) AS c FROM (
+    SELECT r, vec_id, kept.v, c, list_sum(list_transform(kept.v, lambda x, j: (x - c{i}.v[j]) * (x - c{i}.v[j])))::BIGINT AS d
+    FROM kept, c{i}) GROUP BY r)""")
+        if i < ROUNDS:
+            parts.append(f"""s{i} AS (SELECT c, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, 65) t(j) GROUP BY c, j)""")
+            parts.append(f"""m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM s{i} GROUP BY c)""")
+            parts.append(f"""c{i + 1} AS (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, c::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{ROUNDS}.v, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN c{ROUNDS} USING (c)
+"""
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = lines.drop_shared_lines(table(spark, folder, "documents"), least_length=LINE_LENGTH, least_documents=LINE_DOCUMENTS)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH lines AS (
+  SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS spot
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key
+  HAVING count(DISTINCT doc_id) + (count(*) > count(doc_id))::INT >= 5),
+judged AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id IS DISTINCT FROM s.keeper AS gone FROM keyed k LEFT JOIN shared s USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY spot) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -128,5 +229,14 @@ QUERIES = {
     "op8_rendezvous_sharding": op8_rendezvous_sharding,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_main_text": op10_html_main_text,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_line_dedup": op13_line_dedup,
+}
+ORACLES = {
+    "op3_source_mixing": OP3_SQL,
+    "op7_nearest_neighbours": OP7_SQL,
+    "op11_ranked_search": OP11_SQL,
+    "op12_centroid_clusters": _op12_sql(),
+    "op13_line_dedup": OP13_SQL,
 }
-ORACLES = {"op3_source_mixing": OP3_SQL, "op7_nearest_neighbours": OP7_SQL}
