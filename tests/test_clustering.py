@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import clustering, dtw
+from tidemark.operators import near as near_
 
 
 def slow_dtw(a, b, radius):
@@ -60,7 +61,8 @@ def test_distance_properties():
 
 @pytest.mark.parametrize("block", [4, 128])
 def test_pairs_equal_brute_force(spark, arrays, distances, monkeypatch, block):
-    monkeypatch.setattr(dtw, "BLOCK_ROWS", block)  # small blocks split the crowded cells
+    monkeypatch.setattr(near_, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_, "TOP", block)  # small blocks have levels above them
     ids, table = distances
     distinct = dtw.distinct_sequences(frame(spark, arrays), "id", "v")
     assert sorted(r.seq_id for r in distinct.collect()) == ids
@@ -70,12 +72,14 @@ def test_pairs_equal_brute_force(spark, arrays, distances, monkeypatch, block):
     assert max(abs(found[p] - expected[p]) for p in found) < 1e-9
 
 
-@pytest.mark.parametrize("k, landmarks", [(3, 16), (100, 8)])
-def test_nearest_equal_brute_force(spark, arrays, distances, k, landmarks):
+@pytest.mark.parametrize("k, block", [(3, 4), (3, 128), (100, 8)])
+def test_nearest_equal_brute_force(spark, arrays, distances, monkeypatch, k, block):
+    monkeypatch.setattr(near_, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_, "TOP", block)
     ids, table = distances
     distinct = dtw.distinct_sequences(frame(spark, arrays), "id", "v")
     got = {}
-    for r in dtw.nearest_sequences(distinct, k, landmarks=landmarks).collect():
+    for r in dtw.nearest_sequences(distinct, k).collect():
         got.setdefault(r.i, []).append((r.pos, r.j))
     for i in ids:
         expected = [j for _, j in sorted((table[i, j], j) for j in ids if j != i)[:k]]
@@ -118,13 +122,16 @@ def test_components_without_edges(spark):
     assert clustering.connected_components(spark.createDataFrame([], "i long, j long")).count() == 0
 
 
-def test_dbscan_equals_the_definition(spark):
+@pytest.mark.parametrize("block", [4, 128])
+def test_dbscan_equals_the_definition(spark, monkeypatch, block):
+    monkeypatch.setattr(near_, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_, "TOP", block)
     rng = np.random.default_rng(9)
     values = [round(float(v), 2) for v in np.concatenate([rng.normal(0, 1, 25), rng.normal(20, 1, 25), rng.uniform(-40, 60, 12)])]
     values += [77.0] * 5  # a group of copies is dense by itself
     df = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, v array<double>")
     nodes = dtw.distinct_sequences(df, "id", "v")
-    got = {r.seq_id: (r.label, r.is_core) for r in clustering.dbscan(nodes, dtw.pairs_within(nodes, 0.5), 5).collect()}
+    got = {r.seq_id: (r.label, r.is_core) for r in clustering.dbscan(nodes, 0.5, 5).collect()}
     near = {i: [j for j, w in enumerate(values) if abs(w - v) <= 0.5] for i, v in enumerate(values)}
     core = {i for i in near if len(near[i]) >= 5}
     label: dict[int, int] = {}
@@ -183,7 +190,7 @@ def test_density_cut_drops_small_groups(spark):
     values = [0.0, 0.1, 0.2, 0.3, 0.4, 9.0, 9.1, 50.0]
     df = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, v array<double>")
     nodes = dtw.distinct_sequences(df, "id", "v")
-    nearest = dtw.nearest_sequences(nodes, 2, landmarks=4)
+    nearest = dtw.nearest_sequences(nodes, 2)
     got = dict(rows(clustering.density_cut(nodes, dtw.pairs_within(nodes, 1.0), nearest, 1.0, 3)))
     assert [got[i] for i in range(8)] == [0, 0, 0, 0, 0, -1, -1, -1]
 
@@ -194,7 +201,7 @@ def test_far_sequences_are_neighbours_too(spark):
     found = dtw.nearest_sequences(dtw.distinct_sequences(df, "id", "v"), 2)
     assert rows(found, "i", "j", "dist") == [(1, 2, 5e12), (2, 1, 5e12)]
     many = spark.createDataFrame([(i, [float(i)]) for i in range(40)], "id long, v array<double>")
-    assert dtw.nearest_sequences(dtw.distinct_sequences(many, "id", "v"), 600, landmarks=3).count() == 40 * 39
+    assert dtw.nearest_sequences(dtw.distinct_sequences(many, "id", "v"), 600).count() == 40 * 39
     assert len(dtw.pick_landmarks(dtw.distinct_sequences(many, "id", "v"), 1000)) == 40
 
 
@@ -234,3 +241,29 @@ def test_weights_move_the_centres(spark):
     labelled = clustering.kmeans(df, "f", 2, weight="copies")
     assert len({r.label for r in labelled.collect()}) == 2
     assert clustering.bisecting_kmeans(df, "f", 2, weight="copies").count() == 3
+
+
+def test_bounds_keep_far_blocks_apart(spark, monkeypatch):
+    """Sequences around 20 shapes of two lengths: at most a tenth of the pairs of blocks is formed, and no pair is lost."""
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(near_, "TOP", 8)
+    rng = np.random.default_rng(3)
+    shapes = [np.repeat(rng.uniform(0, 100, 8), 4)[: 28 + i % 2] for i in range(20)]
+    arrays = [np.round(s + rng.normal(0, 0.5, len(s)), 3) for s in shapes for _ in range(60)]
+    nodes = dtw.distinct_sequences(frame(spark, arrays), "id", "v")
+    blocks = near_.Blocks(nodes, 3)
+    every, formed = blocks.rows.count(), blocks.pairs(F.lit(6.0)).count()
+    assert every >= 90 and formed <= every * (every + 1) / 2 / 10
+    found = rows(dtw.pairs_within(nodes, 6.0), "i", "j")
+    chosen = [(i, j) for i in range(0, 1200, 59) for j in range(1200) if i < j]
+    near = [(i, j) for i, j in chosen if slow_dtw(arrays[i], arrays[j], 3) <= 6.0]
+    assert len(near) > 50 and set(near) == {p for p in found if p[0] % 59 == 0}
+
+
+def test_density_clusters_of_texts_and_gaps(spark):
+    """Ids that are strings, no core at all, and no rows."""
+    df = spark.createDataFrame([("b", [0.0]), ("a", [0.2]), ("c", [0.1]), ("z", [9.0])], "id string, v array<double>")
+    nodes = dtw.distinct_sequences(df, "id", "v")
+    assert rows(clustering.dbscan(nodes, 0.3, 3)) == [("a", "a", True), ("b", "a", True), ("c", "a", True), ("z", "-1", False)]
+    assert rows(clustering.dbscan(nodes, 0.3, 9), "label") == [("-1",)] * 4
+    assert clustering.dbscan(nodes.limit(0), 0.3, 3).count() == 0

@@ -1,12 +1,7 @@
-"""Time-warping distances: to landmarks, within a radius, and to the nearest neighbours.
+"""Sequences and their copies, landmarks, and the time-warping distances to them.
 
-The full distance matrix is never built. Copies are merged first, then sequences go into
-blocks of bounded size by their largest value. That value alone bounds the distance from
-below, so most pairs of blocks are never formed. The remaining ones are filtered by further
-lower bounds before the exact distance is computed. All results are exact.
-
-Distances follow the usual definition: squared local cost, square root of the sum, a band of
-``radius`` around the diagonal that is widened by the difference in length.
+The full distance matrix is never built. Copies are merged first; ``near`` then finds the pairs
+within a limit and the nearest neighbours, exactly.
 """
 
 from __future__ import annotations
@@ -15,82 +10,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
-
-BLOCK_ROWS = 128
-CANDIDATES_AT_ONCE = 8_192  # one row of the distance table then fits the processor cache
-UNBOUNDED = float("inf")  # no limit: every cell is searched
-
-
-# ---- kernels on numpy arrays -------------------------------------------------------------
-
-
-def _band(n: int, m: int, radius: int) -> list[range]:
-    """Columns of the longer sequence that each item of the shorter one may meet."""
-    reach = m - n + radius
-    return [range(max(0, i - radius), min(m, i + reach + 1)) for i in range(n)]
-
-
-def dtw_rows(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    """Distance of a[p] and b[p] for every row p."""
-    if a.shape[1] > b.shape[1]:
-        a, b = b, a
-    x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
-    n, m, pairs = x.shape[0], y.shape[0], x.shape[1]
-    above, row, cost = np.full((m + 1, pairs), np.inf), np.full((m + 1, pairs), np.inf), np.empty(pairs)
-    above[0] = 0.0
-    for i, columns in enumerate(_band(n, m, radius)):
-        # the two rows are reused, so what lies beside the band is made unreachable
-        row[columns.start] = np.inf
-        for j in columns:
-            cell = row[j + 1]
-            np.minimum(above[j], above[j + 1], out=cell)
-            np.minimum(cell, row[j], out=cell)
-            np.subtract(x[i], y[j], out=cost)
-            np.multiply(cost, cost, out=cost)
-            cell += cost
-        row[columns.stop + 1 :] = np.inf
-        above, row = row, above
-    return np.sqrt(above[m])
-
-
-def _outside_envelope(short: np.ndarray, long: np.ndarray, radius: int) -> np.ndarray:
-    """Squared lower bound, items of ``short`` against the envelope of ``long`` in the band."""
-    total = np.zeros((short.shape[0], long.shape[0]))
-    for i, columns in enumerate(_band(short.shape[1], long.shape[1], radius)):
-        window = long[:, columns.start : columns.stop]
-        item = short[:, i][:, None]
-        over = np.maximum(item - window.max(axis=1)[None, :], 0.0)
-        under = np.maximum(window.min(axis=1)[None, :] - item, 0.0)
-        total += (over + under) ** 2
-    return total
+from tidemark.operators.kernels import dtw_rows, lower_bounds
+from tidemark.operators.near import nearest_sequences, pairs_within
 
-
-def lower_bounds(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    """Matrix of lower bounds of the distance of every row of ``a`` to every row of ``b``."""
-    if a.shape[1] > b.shape[1]:
-        return lower_bounds(b, a, radius).T
-    highest = np.abs(a.max(axis=1)[:, None] - b.max(axis=1)[None, :])
-    lowest = np.abs(a.min(axis=1)[:, None] - b.min(axis=1)[None, :])
-    envelope = np.sqrt(_outside_envelope(a, b, radius))
-    return np.maximum(np.maximum(highest, lowest), envelope)
-
-
-def _close_pairs(a, b, limits, radius, allowed=None):
-    """Indices and distances of the pairs within the limit of their row of ``a``."""
-    bound = lower_bounds(a, b, radius) * (1 - 1e-12)
-    maybe = bound <= limits[:, None]
-    if allowed is not None:
-        maybe &= allowed
-    rows, cols = np.nonzero(maybe)
-    for start in range(0, len(rows), CANDIDATES_AT_ONCE):
-        i, j = rows[start : start + CANDIDATES_AT_ONCE], cols[start : start + CANDIDATES_AT_ONCE]
-        distance = dtw_rows(a[i], b[j], radius)
-        near = distance <= limits[i]
-        yield i[near], j[near], distance[near]
+__all__ = ["dtw_rows", "lower_bounds", "nearest_sequences", "pairs_within"]
 
 
 # ---- sequences ---------------------------------------------------------------------------
@@ -188,127 +114,3 @@ def distances_to_landmarks(
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInPandas(measure, f"{kinds}, distances array<double>")
-
-
-# ---- blocks ------------------------------------------------------------------------------
-
-
-def _blocks(sequences: DataFrame, groups: Sequence[str], width: Column) -> tuple[DataFrame, DataFrame]:
-    """Blocks of about 128 sequences of one length and value cell, and the list of cells.
-
-    A cell with many sequences is split into as many salted blocks as its count asks for.
-    """
-    cell = F.floor(F.array_max("values") / F.col("width"))
-    sized = sequences.withColumn("width", width).withColumn("cell", cell).withColumn("n", F.size("values"))
-    keys = [*groups, "cell", "n"]
-    cells = sized.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("salts"))
-    salted = sized.join(cells, keys).withColumn("salt", F.pmod(F.xxhash64("seq_id"), F.col("salts")))
-    item = F.collect_list(F.struct("seq_id", "values", "limit")).alias("items")
-    blocks = salted.groupBy(*keys, "salt").agg(
-        item,
-        F.min(F.floor((F.array_max("values") - F.col("limit")) / F.col("width"))).alias("cell_from"),
-        F.max(F.floor((F.array_max("values") + F.col("limit")) / F.col("width"))).alias("cell_to"),
-    )
-    fields = [F.col(f"items.{f}").alias(f) for f in ("seq_id", "values", "limit")]
-    return blocks.select(*keys, "salt", "cell_from", "cell_to", *fields), cells
-
-
-def _block_pairs(
-    sequences: DataFrame, groups: Sequence[str], width: Column, symmetric: bool
-) -> DataFrame:
-    """Every pair of blocks that may hold a pair within its limit.
-
-    Each query block is sent to the data blocks of the cells it can reach, one row per pair of
-    blocks, keyed by the data block. The pairs of a crowded cell are so spread over as many
-    keys as it has blocks. A symmetric search takes each unordered pair of blocks once.
-    """
-    blocks, cells = _blocks(sequences, groups, width)
-    span = cells.agg(F.struct(F.min("cell").alias("lo"), F.max("cell").alias("hi"))).scalar()
-    place = ["cell", "n", "salt"]
-    query = blocks.withColumn("span", span).select(
-        *groups,
-        F.struct(*place).alias("q_place"),
-        F.col("seq_id").alias("q_id"),
-        F.col("values").alias("q_values"),
-        F.col("limit").alias("q_limit"),
-        F.explode(
-            F.sequence(F.greatest("cell_from", "span.lo"), F.least("cell_to", "span.hi"))
-        ).alias("cell"),
-    )
-    targets = query.join(cells, [*groups, "cell"]).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
-    )
-    if symmetric:
-        targets = targets.where(F.col("q_place") <= F.struct(*place))
-    data = blocks.select(*groups, *place, F.col("seq_id").alias("d_id"), F.col("values").alias("d_values"))
-    paired = targets.join(data, [*groups, *place])
-    same = F.col("q_place") == F.struct(*place)
-    return paired.select(*groups, same.alias("same"), "q_id", "q_values", "q_limit", "d_id", "d_values")
-
-
-def _search(pairs: DataFrame, groups: Sequence[str], radius: int, symmetric: bool, keep: int | None) -> DataFrame:
-    """Run the kernel on each pair of blocks; ``keep`` returns only that many per query."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                a, b = np.stack(row.q_values), np.stack(row.d_values)
-                ids, others = np.asarray(row.q_id), np.asarray(row.d_id)
-                limits = np.asarray(row.q_limit, dtype=float)
-                if symmetric and row.same:
-                    allowed = ids[:, None] < others[None, :]
-                else:
-                    allowed = ids[:, None] != others[None, :]
-                found = [
-                    pd.DataFrame({"i": ids[i], "j": others[j], "dist": d})
-                    for i, j, d in _close_pairs(a, b, limits, radius, allowed)
-                ]
-                if not found:
-                    continue
-                out = pd.concat(found, ignore_index=True)
-                if keep is not None:
-                    out = out.sort_values(["i", "dist", "j"]).groupby("i").head(keep)
-                for g in groups:
-                    out[g] = getattr(row, g)
-                yield out[[*groups, "i", "j", "dist"]]
-
-    kinds = {f.name: f.dataType for f in pairs.schema}
-    id_type = kinds["q_id"].elementType.simpleString()
-    group_types = "".join(f"`{g}` {kinds[g].simpleString()}, " for g in groups)
-    return pairs.mapInPandas(run, f"{group_types}i {id_type}, j {id_type}, dist double")
-
-
-def pairs_within(distinct: DataFrame, limit: float, radius: int = 3, groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, i, j, dist) with i < j: all pairs of distinct sequences at most ``limit`` apart."""
-    sized = distinct.select(*groups, "seq_id", "values", F.lit(float(limit)).alias("limit"))
-    pairs = _block_pairs(sized, groups, F.lit(float(limit)), symmetric=True)
-    found = _search(pairs, groups, radius, symmetric=True, keep=None)
-    return found.select(*groups, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "dist")
-
-
-def nearest_sequences(
-    distinct: DataFrame, k: int, radius: int = 3, landmarks: int = 64
-) -> DataFrame:
-    """(i, j, dist, pos): the ``k`` nearest other distinct sequences of each one.
-
-    The k-th smallest landmark distance of a sequence bounds its k-th neighbour from above.
-    That bound limits the search, and each pair of blocks returns at most k rows per query.
-    """
-    marks = pick_landmarks(distinct, landmarks)  # too few of them for k only loosens the bound
-    measured = distances_to_landmarks(distinct, marks, radius)
-    mark_ids = F.array(*[F.lit(i) for i, _ in marks])
-    others = F.filter(
-        F.arrays_zip(mark_ids.alias("m"), F.col("distances").alias("d")),
-        lambda x: x.getField("m") != F.col("seq_id"),
-    )
-    ordered = F.array_sort(F.transform(others, lambda x: x.getField("d")))
-    bound = F.coalesce(F.get(ordered, F.lit(k - 1)), F.lit(UNBOUNDED))
-    # written once: the width and both sides of the search read it
-    limited = cut_lineage(measured.select("seq_id", "values", (bound * (1 + 1e-12)).alias("limit")))
-    bounded = F.when(F.col("limit") < UNBOUNDED, F.col("limit"))
-    typical = F.coalesce(limited.agg(F.percentile_approx(bounded, 0.5)).scalar(), F.lit(0.0))
-    spread = limited.agg((F.max(F.array_max("values")) - F.min(F.array_max("values"))) / 1024).scalar()
-    width = F.greatest(typical, spread, F.lit(1e-9))
-    found = _search(_block_pairs(limited, [], width, symmetric=False), [], radius, symmetric=False, keep=k)
-    order = Window.partitionBy("i").orderBy("dist", "j")
-    return found.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= k)

@@ -123,7 +123,7 @@ def mds_scale_kmeans(spark, sf):
 @query("j8_dbscan")
 def dbscan(spark, sf):
     nodes, belongs = users(spark, sf)
-    return for_users(clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 350.0, RADIUS)), 5), belongs)
+    return for_users(clustering.dbscan(nodes, 350.0, 5, RADIUS), belongs)
 
 
 @query(
@@ -138,7 +138,7 @@ def dbscan(spark, sf):
 )
 def dbscan_radius_0(spark, sf):
     nodes, belongs = users(spark, sf)
-    return for_users(clustering.dbscan(nodes, cut_lineage(dtw.pairs_within(nodes, 520.0, 0)), 5), belongs)
+    return for_users(clustering.dbscan(nodes, 520.0, 5, 0), belongs)
 
 
 @query("j9_density_cut")
