@@ -150,12 +150,9 @@ def test_dbscan_equals_the_definition(spark, monkeypatch, block):
 
 
 def test_silhouette_of_four_points(spark):
-    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (3, 1)], "id long, label int")
-    at = [0.0, 1.0, 10.0, 11.0]
-    pairs = spark.createDataFrame(
-        [(i, j, abs(at[i] - at[j])) for i in range(4) for j in range(i + 1, 4)], "i long, j long, dist double"
-    )
-    assert clustering.silhouette_of_pairs(pairs, labels).first()[0] == pytest.approx(0.899749, abs=1e-6)
+    nodes = spark.createDataFrame([(i, [v], 1) for i, v in enumerate([0.0, 1.0, 10.0, 11.0])], "seq_id long, values array<double>, copies long")
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (3, 1)], "seq_id long, label int")
+    assert clustering.warping_silhouettes(nodes, {"x": labels}).first()["silhouette"] == pytest.approx(0.899749, abs=1e-6)
 
 
 def test_scores_equal_their_definitions(spark):
@@ -267,3 +264,65 @@ def test_density_clusters_of_texts_and_gaps(spark):
     assert rows(clustering.dbscan(nodes, 0.3, 3)) == [("a", "a", True), ("b", "a", True), ("c", "a", True), ("z", "-1", False)]
     assert rows(clustering.dbscan(nodes, 0.3, 9), "label") == [("-1",)] * 4
     assert clustering.dbscan(nodes.limit(0), 0.3, 3).count() == 0
+
+
+def plain_linkage(table, k):
+    groups = [[i] for i in range(len(table))]
+    while len(groups) > k:
+        mean = {(a, b): np.mean([table[i][j] for i in groups[a] for j in groups[b]]) for a in range(len(groups)) for b in range(a + 1, len(groups))}
+        a, b = min(mean, key=lambda p: (mean[p], p))
+        groups[a] += groups.pop(b)
+    return {frozenset(g) for g in groups}
+
+
+def test_average_linkage_equals_the_plain_tree(spark, arrays):
+    """With all sequences as landmarks; with fewer, most pairs of sequences are judged alike."""
+    df = frame(spark, arrays)
+    nodes = dtw.distinct_sequences(df, "id", "v").cache()
+    ids = sorted(r.seq_id for r in nodes.collect())
+    every = [[slow_dtw(a, b, 3) for b in arrays] for a in arrays]
+    weigh = [i for i, a in enumerate(arrays)]
+    want = plain_linkage([[every[i][j] for j in weigh] for i in weigh], 4)
+    full = clustering.landmark_features(nodes, 100, 3, ("seq_id", "copies"))
+    got = {r.seq_id: r.label for r in clustering.hierarchical(full, len(ids), 4).collect()}
+    groups = {}
+    for r in dtw.label_members(spark.createDataFrame(list(got.items()), "seq_id long, label int"), dtw.members(df, "id", "v", nodes), "id").collect():
+        groups.setdefault(r.label, set()).add(r.seq_id)
+    assert {frozenset(g) for g in groups.values()} == want
+    some = clustering.landmark_features(nodes, 40, 3, ("seq_id", "copies"))
+    few = {r.seq_id: r.label for r in clustering.hierarchical(some, 40, 4).collect()}
+    assert sorted(few) == ids and -1 not in few.values()
+    pairs = [(i, j) for i in ids for j in ids if i < j]
+    assert np.mean([(got[i] == got[j]) == (few[i] == few[j]) for i, j in pairs]) > 0.75
+
+
+def test_warping_silhouette_equals_its_definition(spark, arrays, monkeypatch):
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 8)
+    df = frame(spark, arrays)
+    nodes = dtw.distinct_sequences(df, "id", "v").cache()
+    label = [i % 3 if i < 70 else 0 for i in range(len(arrays))]
+    given = spark.createDataFrame([(i, label[i]) for i in range(len(arrays))], "seq_id long, label int")
+    one, noisy = given.withColumn("label", F.lit(7)), given.withColumn("label", F.col("label") - 1)
+    # copies of a sequence have its label
+    for i, j in ((70, 0), (71, 0)):
+        label[i] = label[j]
+    apart = [[slow_dtw(a, b, 3) for b in arrays] for a in arrays]
+    scores = []
+    for i in range(len(arrays)):
+        means = {c: np.mean([apart[i][j] for j in range(len(arrays)) if label[j] == c and j != i]) for c in range(3)}
+        a, b = means[label[i]], min(m for c, m in means.items() if c != label[i])
+        scores.append((b - a) / max(a, b))
+    got = dict(rows(clustering.warping_silhouettes(nodes, {"given": given, "one": one, "noisy": noisy})))
+    assert got["given"] == pytest.approx(np.mean(scores), abs=1e-9) and np.isnan(got["one"]) and np.isnan(got["noisy"])
+
+
+def test_scores_with_many_blocks_of_centres(spark, monkeypatch):
+    from tidemark.operators import validity
+
+    rng = np.random.default_rng(6)
+    data = [(int(c), [float(v) for v in rng.normal(c % 17, 1, 3)]) for c in rng.integers(0, 60, 400)]
+    df = spark.createDataFrame(data, "label int, f array<double>")
+    want = [clustering.silhouette(df, "f", "label").first()[0], clustering.davies_bouldin(df, "f", "label").first()[0]]
+    monkeypatch.setattr(validity, "CENTRES", 7)
+    got = [clustering.silhouette(df, "f", "label").first()[0], clustering.davies_bouldin(df, "f", "label").first()[0]]
+    assert got == pytest.approx(want, abs=1e-9)

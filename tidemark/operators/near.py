@@ -87,14 +87,16 @@ class Blocks:
     """The blocks of ``sequences`` (groups, seq_id, values, copies) in a written table.
 
     Columns: groups, block (the number of a range and of a block in it), seq_id, values and copies as arrays, and the
-    ranges of ``RANGES``, and ``most``, what ``measure`` gives for a block's ids and values. Groups never share a block.
+    ranges of ``RANGES``, and ``most``, what ``measure`` gives for a block's ids and values; the column ``carry`` of the sequences comes along as an
+    array. Groups never share a block.
     """
 
-    def __init__(self, sequences: DataFrame, radius: int, groups: Sequence[str] = (), measure: Callable[[list, list], float] | None = None):
+    def __init__(self, sequences: DataFrame, radius: int, groups: Sequence[str] = (), measure: Callable[[list, list], float] | None = None, carry: str | None = None):
         self.radius, self.groups = radius, list(groups)
         if "copies" not in sequences.columns:
             sequences = sequences.withColumn("copies", F.lit(1).cast("long"))
-        known = sequences.select(*groups, "seq_id", "values", "copies").where(F.size("values") > 0)
+        extra = [carry] if carry else []
+        known = sequences.select(*groups, "seq_id", "values", "copies", *extra).where(F.size("values") > 0)
         placed, shortest, self.width = _measured(known)
         self.id_type = known.schema["seq_id"].dataType.simpleString()
         kinds = "".join(f"`{g}` {known.schema[g].dataType.simpleString()}, " for g in groups)
@@ -111,7 +113,7 @@ class Blocks:
                 values = [np.asarray(r.values_, dtype=float) for r in part]
                 fields = {g: getattr(part[0], g) for g in names} | {"block": part[0].range << 32 | number, "values": values}
                 number += 1
-                fields |= {"seq_id": [r.seq_id for r in part], "copies": [r.copies for r in part]}
+                fields |= {c: [getattr(r, c) for r in part] for c in ("seq_id", "copies", *extra)}
                 fields["most"] = measure(fields["seq_id"], values) if measure else np.inf
                 return fields | _ranges(values, width, reach)
 
@@ -139,8 +141,9 @@ class Blocks:
                 yield pd.DataFrame(rest())
 
         ranges = ", ".join(f"{r} array<double>" for r in RANGES)
-        schema = f"{kinds}block long, seq_id array<{self.id_type}>, `values` array<array<double>>, copies array<long>, most double, {ranges}"
-        packed = ranged.select(*groups, "seq_id", F.col("values").alias("values_"), "copies", F.col("range").cast("long"))
+        carried = "".join(f"`{c}` array<{known.schema[c].dataType.simpleString()}>, " for c in extra)
+        schema = f"{kinds}block long, seq_id array<{self.id_type}>, `values` array<array<double>>, copies array<long>, most double, {carried}{ranges}"
+        packed = ranged.select(*groups, "seq_id", F.col("values").alias("values_"), "copies", F.col("range").cast("long"), *extra)
         self.rows = cut_lineage(packed.mapInPandas(cut, schema))
 
     # ---- pairs of blocks -----------------------------------------------------------------

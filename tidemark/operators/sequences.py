@@ -45,6 +45,14 @@ def daily_sequences(df: DataFrame, keys: Sequence[str], ts: str, value: str) ->
     return gathered.select(*keys, "month", _fill_days(F.col("entries"), F.col("month")).alias("amounts"))
 
 
+def category_names(df: DataFrame, category: str, most: int = 1000) -> list[str]:
+    """The different names of a category column in order; more than ``most`` are an error, since each is an array of every key."""
+    found = df.where(F.col(category).isNotNull()).select(category).distinct().orderBy(category).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} categories in {category}")
+    return [r[0] for r in found]
+
+
 def daily_sequences_by_category(
     df: DataFrame, keys: Sequence[str], ts: str, value: str, category: str, names: Sequence[str]
 ) -> DataFrame:

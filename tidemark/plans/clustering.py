@@ -51,11 +51,16 @@ def dtw_pairs_radius_0(spark, sf):
     return dtw.pairs_within(user_sequences(spark, sf), 500.0, 0).withColumn("dist", F.round("dist", 6))
 
 
+def user_categories(spark, sf):
+    """The users' latest month for every event type and the total, and the names of both."""
+    events = table(spark, sf, "events")
+    names = seq.category_names(events, "event_type")
+    return seq.daily_sequences_by_category(events, ["user_id"], "ts", "value", "event_type", names), [*names, seq.TOTAL]
+
+
 def category_sequences(spark, sf):
-    """Distinct arrays of the users' latest month for three event types and the total, cents rounded."""
-    wide = seq.daily_sequences_by_category(
-        table(spark, sf, "events"), ["user_id"], "ts", "value", "event_type", ["purchase", "signup", "view"]
-    )
+    """Distinct arrays of the users' latest month for every event type and the total, cents rounded."""
+    wide, _ = user_categories(spark, sf)
     cents = wide.withColumn("amounts", F.transform("amounts", lambda x: F.round(x, 2)))
     return cut_lineage(dtw.distinct_sequences(cents, "user_id", "amounts", ["category"]))
 
@@ -69,9 +74,9 @@ def dtw_by_category(spark, sf):
     "j4_by_category_radius_0",
     """WITH base AS (SELECT user_id, event_type, ts, value, max(date_trunc('month', ts)) OVER (PARTITION BY user_id) AS last FROM events),
          latest AS (SELECT user_id, event_type, day(ts) AS day, value FROM base WHERE date_trunc('month', ts) = last),
-         sums AS (SELECT user_id, event_type AS category, day, sum(value) AS v FROM latest WHERE event_type IN ('purchase', 'signup', 'view') GROUP BY 1, 2, 3
+         sums AS (SELECT user_id, event_type AS category, day, sum(value) AS v FROM latest GROUP BY 1, 2, 3
                   UNION ALL SELECT user_id, 'Total', day, sum(value) FROM latest GROUP BY 1, 3),
-         grid AS (SELECT user_id, category, i AS day FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(['purchase', 'signup', 'view', 'Total']) AS category), range(1, 32) r(i)),
+         grid AS (SELECT user_id, category, i AS day FROM (SELECT DISTINCT user_id FROM events), (SELECT DISTINCT event_type AS category FROM events WHERE event_type IS NOT NULL UNION ALL SELECT 'Total'), range(1, 32) r(i)),
          seqs AS (SELECT user_id, category, list(round(coalesce(v, 0), 2) ORDER BY day) AS l FROM grid LEFT JOIN sums USING (user_id, category, day) GROUP BY 1, 2),
          firsts AS (SELECT category, l, min(user_id) AS id FROM seqs GROUP BY 1, 2)
        SELECT a.category, a.id AS i, b.id AS j, round(list_distance(a.l, b.l), 6) AS dist FROM firsts a JOIN firsts b ON a.category = b.category AND a.id < b.id
@@ -97,25 +102,36 @@ def topk_radius_0(spark, sf):
     return dtw.nearest_members(dtw.nearest_sequences(nodes, 5, 0), belongs, "user_id", 5).withColumn("dist", F.round("dist", 6))
 
 
+def landmark_features(nodes):
+    """Written distances of the sequences to landmarks, and the number of landmarks."""
+    marks = clustering.landmark_count(nodes)
+    return cut_lineage(clustering.landmark_features(nodes, marks, RADIUS, ("seq_id", "copies"))), min(marks, nodes.count())
+
+
+def kmeans_labels(features):
+    return clustering.kmeans(features, "distances", K, weight="copies").select("seq_id", "label")
+
+
+def scaled_labels(nodes, weight=None):
+    """(seq_id, label, position) from ten standardised dimensions of classical scaling."""
+    keep = ("seq_id", "copies") if weight else ("seq_id",)
+    placed = cut_lineage(clustering.landmark_scaling(nodes, 10, clustering.landmark_count(nodes), RADIUS, keep))
+    return clustering.kmeans(clustering.standardise(placed, "position", 10), "position", K, weight=weight)
+
+
 @query("j6_kmeans_on_distances")
 def kmeans_on_distances(spark, sf):
     nodes, belongs = users(spark, sf)
-    features = cut_lineage(clustering.landmark_features(nodes, 64, RADIUS, ("seq_id", "copies")))
-    return for_users(clustering.kmeans(features, "distances", K, weight="copies").select("seq_id", "label"), belongs)
+    return for_users(kmeans_labels(landmark_features(nodes)[0]), belongs)
 
 
 @query("j7_mds_scale_kmeans")
 def mds_scale_kmeans(spark, sf):
-    categories = ["purchase", "signup", "view", seq.TOTAL]
-    wide = cut_lineage(
-        seq.daily_sequences_by_category(table(spark, sf, "events"), ["user_id"], "ts", "value", "event_type", categories[:3])
-    )
-    out = None
+    wide, categories = user_categories(spark, sf)
+    wide, out = cut_lineage(wide), None
     for category in categories:
         one = wide.where(F.col("category") == category).select(F.col("user_id").alias("seq_id"), F.col("amounts").alias("values"))
-        placed = cut_lineage(clustering.landmark_scaling(one, 10, 64, RADIUS))
-        labelled = clustering.kmeans(clustering.standardise(placed, "position", 10), "position", K)
-        part = clustering.kmeans_centres(labelled, "position").withColumn("category", F.lit(category))
+        part = clustering.kmeans_centres(scaled_labels(one), "position").withColumn("category", F.lit(category))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -166,8 +182,7 @@ def density_cut_radius_0(spark, sf):
 @query("j10_hierarchical")
 def hierarchical(spark, sf):
     nodes, belongs = users(spark, sf)
-    features = cut_lineage(clustering.landmark_features(nodes, 64, RADIUS, ("seq_id", "copies")))
-    return for_users(clustering.bisecting_kmeans(features, "distances", K, weight="copies").select("seq_id", "label"), belongs)
+    return for_users(clustering.hierarchical(*landmark_features(nodes), K), belongs)
 
 
 @query("j11_spectral")
@@ -185,14 +200,14 @@ VECTORS = """x AS (SELECT vec_id, label, i AS pos, CAST(embedding[i] AS DOUBLE)
   c AS (SELECT label, pos, avg(v) AS mean, count(*) AS n FROM x GROUP BY 1, 2)"""
 
 
-@query(
-    "j12_silhouette",
-    f"""WITH {VECTORS}, d AS (SELECT a.vec_id AS i, a.label AS li, b.label AS lj, b.vec_id AS j, sum((a.v - b.v) * (a.v - b.v)) AS dist
+SILHOUETTE_SQL = f"""WITH {VECTORS}, d AS (SELECT a.vec_id AS i, a.label AS li, b.label AS lj, b.vec_id AS j, sum((a.v - b.v) * (a.v - b.v)) AS dist
               FROM x a JOIN x b ON a.pos = b.pos AND a.vec_id <> b.vec_id GROUP BY 1, 2, 3, 4),
           m AS (SELECT i, li, lj, avg(dist) AS mean FROM d GROUP BY 1, 2, 3),
           s AS (SELECT i, max(CASE WHEN li = lj THEN mean END) AS a, min(CASE WHEN li <> lj THEN mean END) AS b FROM m GROUP BY 1)
-        SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""",
-)
+        SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s"""
+
+
+@query("j12_silhouette", SILHOUETTE_SQL)
 def silhouette(spark, sf):
     out = clustering.silhouette(vectors(spark, sf), "embedding", "label")
     return out.select(F.round("silhouette", 6).alias("silhouette"))
@@ -226,11 +241,34 @@ def davies_bouldin(spark, sf):
 
 @query("j15_evaluate_clustering")
 def evaluate_clustering(spark, sf):
-    features = vectors(spark, sf).withColumn("features", F.col("embedding").cast("array<double>"))
-    base = cut_lineage(features.select("vec_id", "features"))
+    """Scores of J6 to J11 on the users' sequences: silhouettes on warping distances, the others on distances to landmarks."""
+    nodes, belongs = users(spark, sf)
+    features, marks = landmark_features(nodes)
+    nearest = cut_lineage(dtw.nearest_sequences(nodes, 4, RADIUS))
+    near = cut_lineage(dtw.pairs_within(nodes, 400.0, RADIUS))
     labelled = {
-        "kmeans": cut_lineage(clustering.kmeans(base, "features", K)),
-        "hierarchical": cut_lineage(clustering.bisecting_kmeans(base, "features", K)),
-        "with_noise": features.select("features", (F.col("label") - 1).alias("label")),
+        "kmeans": kmeans_labels(features),
+        "scaled_kmeans": scaled_labels(nodes, "copies").select("seq_id", "label"),
+        "dbscan": clustering.dbscan(nodes, 350.0, 5, RADIUS).select("seq_id", "label"),
+        "density_cut": clustering.density_cut(nodes, near.where("dist <= 380"), nearest, 380.0, 5),
+        "hierarchical": clustering.hierarchical(features, marks, K),
+        "spectral": clustering.affinity_clusters(near, K, nodes=nodes).withColumnRenamed("id", "seq_id"),
     }
-    return clustering.evaluate_clusterings(labelled, "features")
+    labelled = {name: cut_lineage(found.withColumn("label", F.col("label").cast("long"))) for name, found in labelled.items()}
+    rows = features.select("seq_id", "distances").join(belongs, "seq_id")  # a row for each user
+    scored = {name: rows.join(found, "seq_id").select("distances", "label") for name, found in labelled.items()}
+    others = clustering.evaluate_clusterings(scored, "distances").drop("silhouette")
+    return clustering.warping_silhouettes(nodes, labelled, RADIUS).join(others, "algorithm")
+
+
+@query(
+    "j15_scores_of_labels",
+    f"""WITH s AS (SELECT * FROM ({SILHOUETTE_SQL})), h AS ({CH_SQL}), b AS ({DB_SQL})
+        SELECT 'labels' AS algorithm, silhouette, calinski_harabasz, davies_bouldin FROM s, h, b
+        UNION ALL SELECT 'with_noise', 'nan'::DOUBLE, 'nan'::DOUBLE, 'nan'::DOUBLE""",
+)
+def scores_of_labels(spark, sf):
+    given = vectors(spark, sf)
+    noisy = given.withColumn("label", F.col("label") - 1)
+    found = clustering.evaluate_clusterings({"labels": given, "with_noise": noisy}, "embedding")
+    return found.select("algorithm", *[F.round(c, 6).alias(c) for c in ("silhouette", "calinski_harabasz", "davies_bouldin")])
