@@ -167,18 +167,22 @@ def batch_metrics(spark, sf):
 
 @query(
     "k14_drift_trigger",
-    """WITH m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(avg(value) / 100, 11) AS r2, round(stddev_samp(value), 6) AS rmse FROM events GROUP BY 1, 2),
+    """WITH d AS (SELECT *, value - (0.8 * value + 0.2 * CAST(json_extract(props, '$.k') AS DOUBLE)) AS d FROM events),
+            m AS (SELECT event_type AS version, CAST(ts AS DATE) AS runtime, round(1 - avg(d * d) / nullif(var_pop(value), 0), 8) AS r2, round(sqrt(avg(d * d)), 6) AS rmse, count(*) AS observations FROM d GROUP BY 1, 2),
             w AS (SELECT *, max(r2) OVER (PARTITION BY version ORDER BY runtime) AS ref_r2, min(rmse) OVER (PARTITION BY version ORDER BY runtime) AS ref_rmse,
                   row_number() OVER (PARTITION BY version ORDER BY runtime DESC) AS rn FROM m)
-       SELECT version, runtime, r2, rmse, ref_r2, ref_rmse, CAST(ref_r2 > r2 * 1.05 OR rmse > ref_rmse * 1.2 AS INTEGER) AS retrain,
+       SELECT version, runtime, r2, rmse, observations, ref_r2, ref_rmse, CAST(ref_r2 > r2 * 1.05 OR rmse > ref_rmse * 1.2 AS INTEGER) AS retrain,
               CASE WHEN ref_r2 > r2 * 1.05 OR rmse > ref_rmse * 1.2 THEN 'Need retrain' ELSE 'No need retrain' END AS message FROM w WHERE rn = 1""",
 )
 def drift_trigger(spark, sf):
-    daily = (
-        table(spark, sf, "events")
-        .groupBy(F.col("event_type").alias("version"), F.to_date("ts").alias("runtime"))
-        .agg(F.round(F.avg("value") / 100, 11).alias("r2"), F.round(F.stddev("value"), 6).alias("rmse"))
+    scored = table(spark, sf, "events").select(
+        F.col("event_type").alias("version"),
+        F.to_date("ts").alias("runtime"),
+        "value",
+        (F.col("value") * 0.8 + F.from_json("props", "k double").getField("k") * 0.2).alias("prediction"),
     )
+    daily = models.batch_metrics(scored, ["version", "runtime"], "value")
+    daily = daily.withColumns({"r2": F.round("r2", 8), "rmse": F.round("rmse", 6)})
     return models.drift_flags(daily)
 
 

@@ -1,4 +1,4 @@
-"""Stream jobs: scoring, hourly metrics, drift alerts, duplicate keys.
+"""Stream jobs: scoring with stored models, metrics of late actual values, drift alerts, duplicate keys.
 
 Sinks are idempotent: every micro-batch writes a folder of its own, named by the batch id and
 overwritten when the batch is run again after a failure. Checkpoints go to the shared folder.
@@ -6,14 +6,18 @@ overwritten when the batch is run again after a failure. Checkpoints go to the s
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from datetime import timedelta
 
+import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from tidemark.operators.models import batch_metrics, best_and_latest, judge_each, merge_best
+from tidemark.operators.models import batch_metrics, best_and_latest, judge_each, merge_best, score
 
 # fixed values: how late rows may come and the length of a monitoring window
 LATE = "2 hours"
@@ -86,6 +90,75 @@ def score_stream(
     return run_batches(messages, handle, checkpoint)
 
 
+# ---- stored models -----------------------------------------------------------------------
+
+CHOSEN = "batch long, version long"
+
+
+def publish_model(model: PipelineModel, path: str, version: int) -> None:
+    """Save a model under its version, then list it, so that streams see whole models only."""
+    model.write().overwrite().save(f"{path}/model={version}")
+    listed = SparkSession.active().createDataFrame([(version,)], "version long")
+    listed.write.mode("append").parquet(f"{path}/listed")
+
+
+def version_of(spark: SparkSession, number: int, models: str, path: str) -> int:
+    """The version that scores a batch: the highest listed when the batch is first seen, the same when it is run again."""
+    spark.createDataFrame([], CHOSEN).write.mode("append").parquet(f"{path}/chosen")
+    before = spark.read.schema(CHOSEN).parquet(f"{path}/chosen").where(F.col("batch") == number).first()
+    if before:
+        return before["version"]
+    version = spark.read.schema("version long").parquet(f"{models}/listed").agg(F.max("version")).first()[0]
+    spark.createDataFrame([(number, version)], CHOSEN).write.mode("append").parquet(f"{path}/chosen")
+    return version
+
+
+def score_batch(batch: DataFrame, number: int, models: str, actual: str, path: str) -> None:
+    """Write a batch's predictions with their model version, and one metrics row."""
+    spark = batch.sparkSession
+    version = version_of(spark, number, models, path)
+    scored = score(PipelineModel.load(f"{models}/model={version}"), batch).withColumn("version", F.lit(version).cast("long"))
+    predictions = _batch_folder(path, "predictions", number)
+    scored.write.mode("overwrite").parquet(predictions)
+    metrics = batch_metrics(spark.read.schema(scored.schema).parquet(predictions), ["version"], actual)
+    metrics.write.mode("overwrite").parquet(_batch_folder(path, "metrics", number))
+
+
+def score_with_stored(messages: DataFrame, models: str, actual: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Score each batch with the latest model in the folder ``models``; a new one takes over at a batch border."""
+    return run_batches(messages, lambda batch, number: score_batch(batch, number, models, actual, path), checkpoint)
+
+
+# ---- metrics -----------------------------------------------------------------------------
+
+
+def with_actuals(
+    predictions: DataFrame, actuals: DataFrame, key: str, predicted_at: str, actual_at: str, within: str = HOUR, late: str = LATE
+) -> DataFrame:
+    """Predictions joined with the actual value that arrives for them ``within`` that time, as event_time and the columns of both.
+
+    Both streams have a watermark, so that each side forgets a row once no partner can come any more.
+    """
+    left = predictions.withColumn("event_time", F.col(predicted_at).cast("timestamp")).withWatermark("event_time", late)
+    right = actuals.withColumnsRenamed({key: "_key"}).withColumn("_time", F.col(actual_at).cast("timestamp")).withWatermark("_time", late)
+    in_time = (F.col("_time") >= F.col("event_time")) & (F.col("_time") <= F.col("event_time") + F.expr(f"INTERVAL {within}"))
+    return left.join(right, (F.col(key) == F.col("_key")) & in_time).drop("_key", "_time")
+
+
+def hourly_scores(joined: DataFrame, version: str, actual: str, predicted: str) -> DataFrame:
+    """(runtime, version, r2, rmse, observations) per version and hour of ``with_actuals``, once an hour is closed."""
+    error = F.col(actual) - F.col(predicted)
+    grouped = joined.groupBy(F.window("event_time", HOUR).alias("w"), F.col(version).alias("version"))
+    sums = grouped.agg(F.avg(error * error).alias("mse"), F.var_pop(actual).alias("spread"), F.count("*").alias("observations"))
+    return sums.select(
+        F.col("w.start").cast("timestamp_ntz").alias("runtime"),
+        "version",
+        (1 - F.try_divide("mse", "spread")).alias("r2"),
+        F.sqrt("mse").alias("rmse"),
+        "observations",
+    )
+
+
 def windowed_metrics(messages: DataFrame, ts: str, version: Column, **measures: Column) -> DataFrame:
     """Measures per version and hour; rows later than two hours are dropped.
 
@@ -131,3 +204,50 @@ def first_arrivals(messages: DataFrame, ts: str, keys: Sequence[str], late: str
     """
     timed = messages.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late)
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("event_time")
+
+
+def repeats(messages: DataFrame, ts: str, id: str, keys: Sequence[str], late: timedelta = timedelta(days=1)) -> DataFrame:
+    """(keys, id, ts, first_id, first_ts): every row whose key came up to ``late`` before, with the key's first arrival.
+
+    A key's first row is kept in state until the watermark, ``late`` behind the newest row, has passed it by
+    ``late``; then a timer removes it. A row that comes later than that is a first one again. Rows of one batch are taken in the order of ``ts``
+    and ``id``; batches in the order they come, so that a row that is older but comes in a later batch is a repeat. Null
+    times are not rows of any day and are left out. The rows of one key in one batch meet in a task.
+    """
+    names = list(keys)
+    timed = messages.where(F.col(ts).isNotNull()).select(*names, F.col(id).alias("_id"), F.col(ts).cast("timestamp").alias("_ts"))
+    id_kind, ts_kind = (messages.schema[c].dataType.simpleString() for c in (id, ts))
+    kinds = "".join(f"`{k}` {messages.schema[k].dataType.simpleString()}, " for k in names)
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values(["_ts", "_id"])
+        first_id, first = state.get if state.exists else (None, None)
+        first = pd.Timestamp(first, unit="us") if state.exists else None
+        while len(rows):
+            if first is None or rows["_ts"].iloc[-1] > first + late:
+                again = rows.iloc[:0] if first is None else rows[rows["_ts"] <= first + late]
+                rows = rows.iloc[len(again) :]
+                start, rows = rows.iloc[0], rows.iloc[1:]
+            else:
+                again, rows, start = rows, rows.iloc[:0], None
+            if len(again):
+                yield pd.DataFrame({**dict(zip(names, key)), "_id": again["_id"], "_ts": again["_ts"], "first_id": first_id, "first_ts": first})
+            if start is not None:
+                first_id, first = start["_id"], start["_ts"]
+        state.update((first_id, first.value // 1000))
+        end = int((first + late).value // 1_000_000)
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+
+    grouped = timed.withWatermark("_ts", f"{int(late.total_seconds())} seconds").groupBy(*names)
+    found = grouped.applyInPandasWithState(
+        step,
+        f"{kinds}_id {id_kind}, _ts timestamp, first_id {id_kind}, first_ts timestamp",
+        f"first_id {id_kind}, first_us long",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return found.select(
+        *names, F.col("_id").alias(id), F.col("_ts").cast(ts_kind).alias(ts), "first_id", F.col("first_ts").cast(ts_kind).alias("first_ts")
+    )
