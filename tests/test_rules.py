@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import math
 import random
@@ -13,7 +14,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import models, quality, quantiles, scorecard, series
+from tidemark.operators import models, nearest, quality, quantiles, scorecard, series
 from tidemark.sources import jdbc, parquet, text
 
 DAY = dt.date(2024, 5, 3)
@@ -126,3 +127,24 @@ def test_binning_of_small_tables(spark, n):
     df = spark.range(n).selectExpr("cast(id AS double) AS x", "CASE WHEN (id * 7) % 10 < 3 + 4 * id / {0} THEN 1 ELSE 0 END AS y".format(n))
     bins = scorecard.optimal_binning(df, "x", "y").collect()
     assert len(bins) >= 2 and sum(r.good + r.bad for r in bins) == n
+
+
+def test_nearest_values_beside_an_outlier(spark):
+    """One price of 1e12 leaves the ranges of the others as they are, and ties and gaps are as in a plain search."""
+    rng = random.Random(5)
+    have = sorted({rng.randrange(0, 40_000) for _ in range(3_000)} | {10**12})
+    want = sorted({rng.randrange(-100, 41_000) for _ in range(3_000)} | {10**13})
+    row = F.struct(F.col("v").alias("name")).alias("row")
+    candidates = spark.createDataFrame([("hot", v) for v in have] + [("few", 7)], "k string, v long").select("k", "v", row)
+    targets = spark.createDataFrame([("hot", v) for v in want] + [("few", 9), ("few", 9), ("none", 1)], "k string, v long")
+    placed = nearest.in_slices(targets.select("k", "v").unionByName(candidates.select("k", "v")), "k", "v")
+    sizes = [r["count"] for r in placed.where("k = 'hot'").groupBy("slice").count().collect()]
+    assert len(sizes) >= 100 and max(sizes) < 200
+    got = {(r.k, r.v): (r.below and r.below["at"], r.above and r.above["at"]) for r in nearest.neighbours(targets, candidates, "k", "v", "row").collect()}
+    assert got.pop(("few", 9)) == (7, None) and got.pop(("none", 1)) == (None, None)
+    for (_, v), (below, above) in got.items():
+        at = bisect.bisect_right(have, v)
+        assert below == (have[at - 1] if at else None)
+        after = bisect.bisect_left(have, v)
+        assert above == (have[after] if after < len(have) else None)
+    assert len(got) == len(want)

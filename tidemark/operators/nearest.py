@@ -7,7 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 1024  # value slices per key; a hot key is ordered in as many windows
+from tidemark.session import cut_lineage
+
+SLICES = 128  # value ranges of a key with more than FEW values, each with about as many of them
+FEW = 2_000
+
+
+def in_slices(points: DataFrame, key: str, value: str) -> DataFrame:
+    """``points`` with ``slice``, the number of the range its value falls into.
+
+    Ranges are cut per key at the quantiles of a mergeable sketch, so that an outlier or a dense
+    stretch of values leaves them equally full. Equal values are never cut apart.
+    """
+    shares = [i / SLICES for i in range(1, SLICES)]
+    sketch = points.groupBy(key).agg(F.percentile_approx(value, shares, 10 * SLICES).alias("cuts"), F.count("*").alias("n"))
+    cuts = sketch.where(F.col("n") > FEW).select(key, F.array_distinct("cuts").alias("cuts"))
+    below = F.size(F.filter("cuts", lambda c: c < F.col(value)))
+    return points.join(cuts, key, "left").withColumn("slice", F.coalesce(below, F.lit(0))).drop("cuts")
 
 
 def neighbours(
@@ -22,19 +38,11 @@ def neighbours(
     window in descending order, because a frame that reaches forward to the end costs the
     square of its rows.
     """
-    wanted = targets.select(key, value).distinct()
-    cand = F.struct(F.col(value).alias("at"), F.col(payload).alias("row")).alias("cand")
-    offered = candidates.select(key, value, cand)
-    both = wanted.select(value).unionByName(offered.select(value))
-    span = both.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-
-    def sliced(df: DataFrame) -> DataFrame:
-        step = F.greatest((F.col("span.hi") - F.col("span.lo")) / F.lit(SLICES), F.lit(1e-9))
-        return df.withColumn("span", span).withColumn("slice", F.floor((F.col(value) - F.col("span.lo")) / step)).drop("span")
-
-    wanted, offered = sliced(wanted), sliced(offered)
-    per_slice = offered.groupBy(key, "slice").agg(F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
-    edges = wanted.select(key, "slice").distinct().join(per_slice, [key, "slice"], "full")
+    wanted = targets.select(key, value).distinct().withColumn("is_target", F.lit(True))
+    offered = candidates.select(key, value, F.struct(F.col(value).alias("at"), F.col(payload).alias("row")).alias("cand"))
+    # written once: the sketch, the slices' edges and the search read it
+    points = in_slices(cut_lineage(wanted.unionByName(offered, allowMissingColumns=True)), key, value)
+    edges = points.groupBy(key, "slice").agg(F.min("cand").alias("first_cand"), F.max("cand").alias("last_cand"))
     along = Window.partitionBy(key)
     before = along.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     after = along.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
@@ -45,7 +53,6 @@ def neighbours(
         F.last("first_cand", ignorenulls=True).over(after).alias("carry_above"),
     )
 
-    points = wanted.withColumn("is_target", F.lit(True)).unionByName(offered, allowMissingColumns=True)
     inside = Window.partitionBy(key, "slice")
     reach = (Window.unboundedPreceding, Window.currentRow)
     up = inside.orderBy(value).rangeBetween(*reach)
