@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import clustering, dtw
+from tidemark.operators import clustering, dtw, tree
 from tidemark.operators import sequences as seq
 from tidemark.plans.registry import query
 from tidemark.session import cut_lineage, table
@@ -179,6 +179,24 @@ def density_cut_radius_0(spark, sf):
     return for_users(clustering.density_cut(nodes, dtw.pairs_within(nodes, 540.0, 0), nearest, 540.0, 5), belongs)
 
 
+def tree_labels(nodes, nearest, features):
+    """(seq_id, label) of the density tree; neighbours and distances to landmarks bound the search for its edges."""
+    marks = dtw.pick_landmarks(nodes, clustering.landmark_count(nodes))
+    known = features.select(F.col("seq_id").alias("i"), F.posexplode("distances").alias("at", "dist"))
+    known = known.withColumn("j", F.get(F.array(*[F.lit(m) for m, _ in marks]), F.col("at"))).where("i <> j").select("i", "j", "dist")
+    cores = cut_lineage(clustering.core_distances(nodes, nearest))
+    edges = tree.spanning_tree(nodes, cores, nearest.select("i", "j", "dist").unionByName(known), RADIUS)
+    vertices = cut_lineage(nodes.join(cores.withColumnRenamed("i", "seq_id"), "seq_id").select("seq_id", "copies", "core"))
+    return tree.density_tree(vertices, edges, 5)
+
+
+@query("j9_density_tree")
+def density_tree(spark, sf):
+    nodes, belongs = users(spark, sf)
+    nearest = cut_lineage(dtw.nearest_sequences(nodes, 4, RADIUS))
+    return for_users(tree_labels(nodes, nearest, landmark_features(nodes)[0]), belongs)
+
+
 @query("j10_hierarchical")
 def hierarchical(spark, sf):
     nodes, belongs = users(spark, sf)
