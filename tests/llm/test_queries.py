@@ -16,12 +16,15 @@ FOLDER = "/root/testdata/sf0.001"
 COLUMNS = {
     "op1": ["doc_id", "fingerprint", "component_id"],
     "op2": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
-    "op3": ["doc_id", "size", "source_size", "target", "taken"],
+    "op3": ["doc_id", "size", "source_size", "target", "taken", "n_copies", "first_position"],
     "op4": ["doc_id", "language", "confidence", "keep"],
     "op6": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op7": ["query_id", "rank", "vec_id", "score"],
     "op8": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op10": ["page_id", "url", "text", "n_chars"],
+    "op11": ["item_id", "rank", "doc_id", "score"],
+    "op12": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op13": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
 }
 TABLES = {"op7": None, "op9": None, "op5": "conversations", "op10": "pages"}
 

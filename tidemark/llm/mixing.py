@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
+
 CHUNKS = 3  # hex digits: 4096 pieces a source for the running totals
 
 
@@ -91,41 +93,43 @@ def mix(docs: DataFrame, schedule: DataFrame, size: str, mark: str, source: str
     by_source = targets(weighted.withColumn("weight", F.coalesce("weight", F.lit(0.0))), max_repeats)
     pieces = starts.alias("s").join(by_source.alias("b"), F.col("s.source").eqNullSafe(F.col("b.source")))
     columns = ["source_size", "target", "weight", "knots"]
-    piece = pieces.select(F.struct("s.source", "s._chunk").alias("_key"), F.struct("start", *columns).alias("_piece"))
+    at_name, key, piece_name, before_name = (free_name(docs, name) for name in ("at", "key", "piece", "before"))
+    piece = pieces.select(F.struct("s.source", "s._chunk").alias(key), F.struct("start", *columns).alias(piece_name))
 
     # structs are equal if their nulls are, so that window and join share one shuffle of the rows
-    placed = docs.withColumn("_at", F.struct(F.col(source).alias("source"), chunk.alias("_chunk")))
-    within = Window.partitionBy("_at").orderBy(mark, size).rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("_before", F.coalesce(F.sum(size).over(within), F.lit(0)))
-    placed = placed.join(piece, F.col("_at") == F.col("_key"))
-    s, words = F.col("_piece.source_size"), F.col(size)
-    wanted = F.floor(F.col("_piece.target") + 0.5)
+    placed = docs.withColumn(at_name, F.struct(F.col(source).alias("source"), chunk.alias("_chunk")))
+    within = Window.partitionBy(at_name).orderBy(mark, size).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn(before_name, F.coalesce(F.sum(size).over(within), F.lit(0)))
+    placed = placed.join(piece, F.col(at_name) == F.col(key))
+    s, words = F.col(f"{piece_name}.source_size"), F.col(size)
+    wanted = F.floor(F.col(f"{piece_name}.target") + 0.5)
     epochs = F.when(s > 0, F.floor(wanted / s)).otherwise(F.lit(0))
-    at = F.col("_piece.start") + F.col("_before")
+    at = F.col(f"{piece_name}.start") + F.col(before_name)
     cut = F.least(F.greatest(wanted - epochs * s - at, F.lit(0)), words)
     copies = epochs + F.when((cut > 0) & (cut * 2 >= words), 1).otherwise(0)
 
     def position(epoch: Column) -> Column:
         n = F.when(epoch < epochs, words).otherwise(cut)
-        return _position(F.col("_piece.knots"), F.col("_piece.weight"), (epoch * s + at + n / 2) / wanted)
+        return _position(F.col(f"{piece_name}.knots"), F.col(f"{piece_name}.weight"), (epoch * s + at + n / 2) / wanted)
 
     count = (epochs + F.when(cut > 0, 1).otherwise(0)).cast("int")
     none = F.array().cast("array<double>")
     positions = F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), position)).otherwise(none)
     fields = [
         s.alias("source_size"),
-        F.col("_piece.target").alias("target"),
+        F.col(f"{piece_name}.target").alias("target"),
         (epochs * words + cut).cast("long").alias("taken"),
         copies.cast("int").alias("copies"),
         positions.alias("positions"),
     ]
-    return placed.withColumn(out, F.struct(*fields)).drop("_at", "_before", "_key", "_piece")
+    return placed.withColumn(out, F.struct(*fields)).drop(at_name, before_name, key, piece_name)
 
 
 def training_order(docs: DataFrame, mixed: str = "mix") -> DataFrame:
     """One row for each whole copy, sorted by training position over all partitions; all columns stay."""
-    taken = docs.withColumn("_position", F.explode(F.slice(f"{mixed}.positions", 1, F.col(f"{mixed}.copies"))))
-    return taken.orderBy("_position").drop("_position", mixed)
+    position = free_name(docs, "position")
+    taken = docs.withColumn(position, F.explode(F.slice(f"{mixed}.positions", 1, F.col(f"{mixed}.copies"))))
+    return taken.orderBy(position).drop(position, mixed)
 
 
 def marked(docs: DataFrame, id: str, text: str) -> Column:
@@ -136,13 +140,12 @@ def marked(docs: DataFrame, id: str, text: str) -> Column:
 def ranked_schedule(docs: DataFrame, source: str, weights: tuple[float, ...], tilts: tuple[float, ...]) -> DataFrame:
     """A schedule by rank: sources by code point, null last, take ``weights`` in turn.
 
-    Over training a weight moves from (1 - tilt) to (1 + tilt) times its mean; ``tilts`` are taken
-    in turn once all weights were.
+    Over training a weight moves from (1 - tilt) to (1 + tilt) times its mean; the sources take
+    ``tilts`` in turn too.
     """
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     names = docs.select(F.col(source).alias("source")).distinct().select("source", rank.alias("rank"))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
-    turn = F.floor(F.col("rank") / len(weights)) % len(tilts)
-    tilt = F.element_at(F.array(*map(F.lit, tilts)), (turn + 1).cast("int"))
+    tilt = F.element_at(F.array(*map(F.lit, tilts)), (F.col("rank") % len(tilts) + 1).cast("int"))
     ends = names.select("source", weight.alias("w"), tilt.alias("tilt"), F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("t"))
     return ends.select("source", "t", (F.col("w") * (1 + F.col("tilt") * (2 * F.col("t") - 1))).alias("weight"))

@@ -33,7 +33,7 @@ QUERY_STEP, NEIGHBOURS = 100, 10
 BEST_DOCUMENTS = 20
 CENTROIDS, ROUNDS, CENTROID_SEED = 40, 5, "2"
 LINE_LENGTH, LINE_DOCUMENTS = 40, 5
-MIX_WEIGHTS, MIX_TILTS = (1.0, 2.0, 3.0), (0.0, 0.5, -0.5)
+MIX_WEIGHTS, MIX_TILTS = (1.0, 2.0, 3.0), (0.5, -0.5, 0.25)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,11 +47,14 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in the order of the training position of their first copy; a last copy may be cut."""
     docs = table(spark, folder, "documents")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mixing.marked(docs, "doc_id", "text").alias("mark"))
     schedule = mixing.ranked_schedule(docs, "source", MIX_WEIGHTS, MIX_TILTS)
     mixed = mixing.mix(sized, schedule, "size", "mark")
-    return mixed.select("doc_id", "size", "mix.source_size", "mix.target", "mix.taken")
+    first = F.round(F.get("mix.positions", F.lit(0)), 9).alias("first_position")
+    placed = mixed.select("doc_id", "size", "mix.source_size", "mix.target", "mix.taken", F.size("mix.positions").alias("n_copies"), first)
+    return placed.orderBy("first_position")
 
 
 OP3_SQL = r"""
@@ -62,6 +65,7 @@ WITH sized AS (
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
   SELECT *, ([1.0, 2.0, 3.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+         ([0.5, -0.5, 0.25])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS tilt,
          source_size * 3.0::DOUBLE AS cap FROM sources),
 levels AS (
   SELECT *, cap / weight AS full_at,
@@ -71,16 +75,23 @@ levels AS (
     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 chosen AS (SELECT max(level) AS level FROM levels WHERE full_at > level),
 priced AS (
-  SELECT source, source_size, least(cap, coalesce((SELECT level FROM chosen) * weight, cap)) AS target FROM weighted),
+  SELECT source, source_size, weight, tilt, least(cap, coalesce((SELECT level FROM chosen) * weight, cap)) AS target FROM weighted),
 placed AS (
-  SELECT s.doc_id, s.size, p.source_size, p.target, floor(p.target + 0.5)::BIGINT AS wanted,
+  SELECT s.doc_id, s.size, p.source_size, p.weight, p.tilt, p.target, floor(p.target + 0.5)::BIGINT AS wanted,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.mark, s.size
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS placed_at
-  FROM sized s JOIN priced p ON s.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN source_size = 0 THEN 0 ELSE
-         (wanted // source_size) * size + least(greatest(wanted % source_size - placed_at, 0), size) END::BIGINT AS taken
-FROM placed
+  FROM sized s JOIN priced p ON s.source IS NOT DISTINCT FROM p.source),
+dealt AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE wanted // source_size END AS epochs,
+         CASE WHEN source_size = 0 THEN 0 ELSE least(greatest(wanted % source_size - placed_at, 0), size) END AS cut FROM placed),
+-- the share of the source's words before the middle of the first copy, as area under its weight from (1 - tilt) to (1 + tilt)
+areas AS (
+  SELECT *, (placed_at + CASE WHEN epochs > 0 THEN size ELSE cut END / 2) / wanted * weight AS area,
+         weight * (1 - tilt) AS w0, 2 * weight * tilt AS slope FROM dealt)
+SELECT doc_id, size, source_size, target, (epochs * size + cut)::BIGINT AS taken, (epochs + (cut > 0)::INT)::INT AS n_copies,
+       CASE WHEN epochs + cut > 0 THEN
+         round(least(2 * area / (w0 + sqrt(greatest(w0 * w0 + 2 * slope * area, 0))), 1), 9) END AS first_position
+FROM areas
 """
 
 
