@@ -24,20 +24,22 @@ from tidemark.session import cut_lineage
 def lowest_reachable_status(rows: DataFrame, node: str, depends_on: str) -> DataFrame:
     """(node, status): the lowest status among a node and everything it depends on.
 
-    Only nodes whose status fell in the last round pass it on, so a round costs as much as it
-    changes. The loop ends when nothing falls any more; cycles are no obstacle. Every round is
-    written to the shared folder.
+    Only nodes whose status fell in the last round pass it on, and a round writes only the nodes
+    that fell in it; their earlier statuses are looked up for the nodes that were offered one. The loop
+    ends when nothing falls any more; cycles are no obstacle. Every round is written to the
+    shared folder.
     """
     edges = cut_lineage(rows.where(F.col(depends_on).isNotNull()).select(node, depends_on).distinct())
-    lowest = rows.groupBy(node).agg(F.min("status").alias("status"))
-    current = cut_lineage(lowest.withColumn("fell", F.lit(True)))
-    while not current.where("fell").isEmpty():
-        heard = current.where("fell").select(F.col(node).alias(depends_on), F.col("status").alias("heard"))
-        offered = edges.join(heard, depends_on).groupBy(node).agg(F.min("heard").alias("heard"))
-        fell = F.coalesce(F.col("heard") < F.col("status"), F.lit(False))
-        joined = current.drop("fell").join(offered, node, "left")
-        current = cut_lineage(joined.select(node, F.least("status", "heard").alias("status"), fell.alias("fell")))
-    return current.drop("fell")
+    fell = cut_lineage(rows.groupBy(node).agg(F.min("status").alias("status")))
+    known = fell
+    while not fell.isEmpty():
+        heard = fell.select(F.col(node).alias(depends_on), F.col("status").alias("heard"))
+        offered = cut_lineage(edges.join(heard, depends_on).groupBy(node).agg(F.min("heard").alias("heard")))
+        before = known.join(offered, node).groupBy(node).agg(F.min("status").alias("before"), F.min("heard").alias("heard"))
+        lower = F.col("before").isNull() | (F.col("heard") < F.col("before"))
+        fell = cut_lineage(before.where(F.col("heard").isNotNull() & lower).select(node, F.col("heard").alias("status")))
+        known = known.unionByName(fell)
+    return known.groupBy(node).agg(F.min("status").alias("status"))
 
 
 def last_dependency_status(rows: DataFrame, node: str, depends_on: str) -> DataFrame:
