@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import sys
 
-import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tidemark.llm.queries import TOKENIZER
 from tidemark.llm.token_counts import count_tokens, counter, stored_counts, tokenizer_version
 
-JSON = public_tokenizers.path("byte_bpe_50k.json")
+JSON = TOKENIZER
 TEXTS = [
     None, "", "hello world", "a<|endoftext|>b <|endoftext|>", "<|endoftext|", "it's  we'll\n\n  x\t \n", "   ", "日本語 १२३ ½ é́",
     "x" * 3000, "\u0085   ​﻿\x00\x1c\x1f", "'s't'S ''ll", "Ünï-cödé, " * 50, "\r\n" * 40, "a   b",
@@ -56,7 +57,7 @@ def test_pieces_equal_the_library_for_every_character():
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_vocabularies(name):
-    path = public_tokenizers.path(name)
+    path = os.path.join(os.path.dirname(TOKENIZER), name)
     texts = [t or "" for t in TEXTS]
     if name.endswith(".model"):
         import sentencepiece

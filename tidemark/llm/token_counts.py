@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches_of, byte_length, give_back
 
-#: Fixed value: the split pattern of byte-level vocabularies, as public_tokenizers.PATTERN has it.
+#: Fixed value: the split pattern of byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MEMO = 250_000  # pieces a worker remembers before it starts anew
 _SCHEMA = "digest string, version string, n_tokens long"
