@@ -20,8 +20,9 @@ R2_GAIN = 0.01
 
 
 def is_train(ids: Sequence[str], percent: int = 80) -> Column:
-    """Stable split by a hash of the row's identity, whatever the partitioning."""
-    return F.pmod(F.xxhash64(*ids), F.lit(100)) < percent
+    """Stable split by a digest of the row's identity, whatever the partitioning and the engine."""
+    digest = F.md5(F.concat_ws("|", *[F.col(i).cast("string") for i in ids]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 < percent
 
 
 def scale_with(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from tidemark.operators import forecasting as fc
 from tidemark.operators import models
 from tidemark.operators import series as ts
 from tidemark.plans.registry import query
-from tidemark.plans.series import DAILY, KEY, WINDOWS, daily_rate
+from tidemark.plans.series import DAILY, KEY, NUMBERED, WINDOWS, daily_rate
 from tidemark.session import cut_lineage, scratch, table
 from tidemark.sources import text
 
@@ -44,6 +44,20 @@ def forecast(spark, sf):
     return fc.forecast(frame, model, due_events(frame)).select(KEY, "ds", "y", "yhat", "yhat_lower", "yhat_upper")
 
 
+TREND = f"""{NUMBERED}, marked AS (SELECT *, rn <= floor(count(*) OVER (PARTITION BY o_orderpriority) * 0.8) AS train, ds - DATE '1970-01-01' AS day FROM numbered),
+  fitted AS (SELECT o_orderpriority, regr_slope(rate, day) AS a, regr_intercept(rate, day) AS b FROM marked WHERE train GROUP BY 1)"""
+STRAIGHT = {"changepoints": 0, "seasons": ()}  # a trend without bends, which SQL can state
+
+
+@query(
+    "k3_forecast_trend",
+    f"{TREND} SELECT o_orderpriority, ds, round(rate, 6) AS y, round(a * day + b, 4) AS yhat FROM marked JOIN fitted USING (o_orderpriority)",
+)
+def forecast_trend(spark, sf):
+    found = fc.forecast(rate_frame(spark, sf), fc.ForecastModel(keys=(KEY,), **STRAIGHT)).where("y IS NOT NULL")
+    return found.select(KEY, "ds", F.round("y", 6).alias("y"), F.round("yhat", 4).alias("yhat"))
+
+
 @query("k4_components")
 def components(spark, sf):
     monthly = fc.Season("monthly", 30.0, 4)
@@ -68,6 +82,21 @@ def cutoffs(spark, sf):
     return fc.cutoffs(daily_rate(spark, sf), [KEY])
 
 
+@query(
+    "k6_rolling_origin_trend",
+    f"""WITH {DAILY}, span AS (SELECT o_orderpriority, min(ds) AS lo, max(ds) AS hi FROM daily GROUP BY 1),
+          cuts AS (SELECT o_orderpriority, CAST(hi - 30 - CAST(i * 30 AS INTEGER) AS DATE) AS cutoff FROM span, range(0, 1000) r(i) WHERE hi - 30 - CAST(i * 30 AS INTEGER) >= lo + 180),
+          days AS (SELECT o_orderpriority, cutoff, ds, rate, ds - DATE '1970-01-01' AS day FROM daily JOIN cuts USING (o_orderpriority) WHERE ds <= cutoff + 30),
+          fitted AS (SELECT o_orderpriority, cutoff, regr_slope(rate, day) AS a, regr_intercept(rate, day) AS b FROM days WHERE ds <= cutoff GROUP BY 1, 2),
+          errors AS (SELECT CAST(ds - cutoff AS INTEGER) AS horizon, rate - (a * day + b) AS e FROM days JOIN fitted USING (o_orderpriority, cutoff) WHERE ds > cutoff)
+        SELECT horizon, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae FROM errors GROUP BY 1""",
+)
+def rolling_origin_trend(spark, sf):
+    found = fc.rolling_origin(daily_rate(spark, sf), [KEY], "rate", **STRAIGHT)
+    rmse, mae = (F.max(F.when(F.col("metric") == m, F.col("value"))) for m in ("RMSE", "MAE"))
+    return found.groupBy("horizon").agg(F.round(rmse, 4).alias("rmse"), F.round(mae, 4).alias("mae"))
+
+
 @query("k6_rolling_origin_cv")
 def rolling_origin_cv(spark, sf):
     return fc.rolling_origin(daily_rate(spark, sf), [KEY], "rate", seasons=(fc.WEEKLY,), changepoints=10)
@@ -84,7 +113,13 @@ def items(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", *FEATURES, TARGET, "l_returnflag")
 
 
-@query("k8_train_test_split")
+IN_TRAIN = "('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8))::BIGINT % 100 < 80"
+
+
+@query(
+    "k8_train_test_split",
+    f"SELECT CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part, count(*) AS cnt FROM lineitem GROUP BY 1",
+)
 def train_test_split(spark, sf):
     part = F.when(models.is_train(ROW), "train").otherwise("test")
     return items(spark, sf).groupBy(part.alias("part")).agg(F.count("*").alias("cnt"))
@@ -111,6 +146,69 @@ def train_regressor(spark, sf):
     return models.batch_metrics(models.score(model, rows.where(~train)), [], TARGET)
 
 
+# a target that depends on the quantity, so that one feature is worth more than another
+AMOUNT_SQL = f"""SELECT *, l_quantity * 100 + l_extendedprice / 100 AS amount, {IN_TRAIN} AS train FROM lineitem"""
+ONE_FEATURE = f"""WITH i AS ({AMOUNT_SQL}),
+  q AS (SELECT regr_slope(amount, l_quantity) AS a, regr_intercept(amount, l_quantity) AS b FROM i WHERE train),
+  t AS (SELECT regr_slope(amount, l_tax) AS a, regr_intercept(amount, l_tax) AS b FROM i WHERE train),
+  s AS (SELECT i.*, q.a * l_quantity + q.b AS new_p, t.a * l_tax + t.b AS old_p FROM i, q, t)"""
+
+
+def amounts(spark, sf):
+    return items(spark, sf).withColumn("amount", F.col("l_quantity") * 100 + F.col("l_extendedprice") / 100)
+
+
+def one_feature(spark, sf, feature="l_quantity"):
+    rows = amounts(spark, sf)
+    return rows, models.train_regressor(rows.where(models.is_train(ROW)), [feature], "amount", "linear")
+
+
+@query(
+    "k10_linear_regressor",
+    f"{ONE_FEATURE} SELECT round(1 - avg((amount - new_p) * (amount - new_p)) / var_pop(amount), 6) AS r2, round(sqrt(avg((amount - new_p) * (amount - new_p))), 4) AS rmse, count(*) AS observations FROM s WHERE NOT train",
+)
+def linear_regressor(spark, sf):
+    rows, model = one_feature(spark, sf)
+    found = models.batch_metrics(models.score(model, rows.where(~models.is_train(ROW))), [], "amount")
+    return found.select(F.round("r2", 6).alias("r2"), F.round("rmse", 4).alias("rmse"), "observations")
+
+
+@query("k12_linear_score", f"{ONE_FEATURE} SELECT l_orderkey, l_linenumber, l_partkey, round(new_p, 4) AS prediction FROM s")
+def linear_score(spark, sf):
+    rows, model = one_feature(spark, sf)
+    path = scratch(spark, "model")
+    model.write().save(path)
+    return models.score(PipelineModel.load(path), rows).select(*ROW, F.round("prediction", 4).alias("prediction"))
+
+
+@query(
+    "k15_one_feature_contest",
+    f"""{ONE_FEATURE}, m AS (SELECT 1 - avg((amount - new_p) ** 2) / var_pop(amount) AS new_r2, 1 - avg((amount - old_p) ** 2) / var_pop(amount) AS old_r2 FROM s WHERE NOT train)
+        SELECT round(new_r2, 6) AS new_r2, round(old_r2, 6) AS old_r2, (new_r2 > old_r2 + 0.01)::INT AS promotion_flag FROM m""",
+)
+def one_feature_contest(spark, sf):
+    rows, new = one_feature(spark, sf)
+    compared = models.compare_models(new, one_feature(spark, sf, "l_tax")[1], rows.where(~models.is_train(ROW)), "amount")
+    return compared.select(F.round("new_r2", 6).alias("new_r2"), F.round("old_r2", 6).alias("old_r2"), "promotion_flag")
+
+
+@query("k16_promoted_score", f"{ONE_FEATURE} SELECT l_returnflag, round(avg(new_p), 4) AS mean_prediction, count(*) AS cnt FROM s GROUP BY 1")
+def promoted_score(spark, sf):
+    rows, new = one_feature(spark, sf)
+    old = one_feature(spark, sf, "l_tax")[1]
+    path = scratch(spark, "production")
+    models.promote(old, rows.select(F.lit(1).alias("promotion_flag")).limit(1), path)  # in production so far
+    models.promote(new, cut_lineage(models.compare_models(new, old, rows.where(~models.is_train(ROW)), "amount")), path)
+    scored = models.score(PipelineModel.load(path), rows)
+    return scored.groupBy("l_returnflag").agg(F.round(F.avg("prediction"), 4).alias("mean_prediction"), F.count("*").alias("cnt"))
+
+
+@query("d18_accuracy_given", "SELECT avg((label = vec_id % 10)::INT) AS accuracy FROM embeddings")
+def accuracy_given(spark, sf):
+    rows = table(spark, sf, "embeddings").withColumn("prediction", F.col("vec_id") % 10)
+    return models.accuracy(rows, "label")
+
+
 def vectors(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector("embedding").alias("features"))
 
