@@ -11,6 +11,7 @@ from tidemark.operators import series as ts
 from tidemark.operators.quantiles import percentiles
 from tidemark.plans.registry import query
 from tidemark.session import table
+from tidemark.sources import parquet
 
 KEY = "o_orderpriority"
 
@@ -62,10 +63,13 @@ def future_frame_join(spark, sf):
     "d12_latest_month_summary",
     """WITH m AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice,
                          max(CAST(date_trunc('month', o_orderdate) AS DATE)) OVER (PARTITION BY o_custkey) AS last FROM orders)
-       SELECT o_custkey, month, round(sum(o_totalprice), 2) AS amount, count(*) AS cnt FROM m WHERE month = last GROUP BY 1, 2""",
+       SELECT o_custkey, 'orders.parquet' AS file_path, month, round(sum(o_totalprice), 2) AS amount, count(*) AS cnt FROM m WHERE month = last GROUP BY 1, 2, 3""",
 )
 def latest_month_summary(spark, sf):
-    out = ts.latest_month_summary(table(spark, sf, "orders"), ["o_custkey"], "o_orderdate", "o_totalprice")
+    """The latest month of each customer in each file."""
+    rows = parquet.read_with_provenance(spark, f"{sf.rstrip('/')}/orders.parquet")
+    rows = rows.withColumn("file_path", F.element_at(F.split("file_path", "/"), -1))
+    out = ts.latest_month_summary(rows, ["o_custkey", "file_path"], "o_orderdate", "o_totalprice")
     return out.withColumn("amount", F.round("amount", 2))
 
 
