@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+
+import pytest
 
 import corpus_pipeline
+from tidemark.llm import similar
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -43,3 +47,48 @@ def test_stage_keeps_one_of_each_class_by_exact_similarity(spark):
     kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
     assert close > 60 and kept == sorted({root(i) for i in ids})
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def least_of_classes(texts):
+    """Smallest index of every class of texts that share 80 % of their shingles, by all pairs that share one."""
+    known, holders, ids = [sets(t) for t in texts], {}, list(range(len(texts)))
+
+    def root(i):
+        while ids[i] != i:
+            ids[i] = ids[ids[i]]
+            i = ids[i]
+        return i
+
+    for i, own in enumerate(known):
+        for shingle in own:
+            holders.setdefault(shingle, []).append(i)
+    for i, own in enumerate(known):
+        shared = Counter(j for shingle in own for j in holders[shingle] if j < i)
+        for j, both in shared.items():
+            if 5 * both >= 4 * (len(own) + len(known[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                ids[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("crowd", [4, 64])
+def test_a_large_group_of_mutated_copies(spark, monkeypatch, crowd):
+    """Copies of one text with 0 to 12 % of the words changed, and copies of some of those: crowded buckets of several classes."""
+    monkeypatch.setattr(similar, "CROWD", crowd)
+    rng = random.Random(8)
+    base = [rng.choice(WORDS) for _ in range(150)]
+
+    def mutated(words, share):
+        return [rng.choice(WORDS) if rng.random() < share else w for w in words]
+
+    firsts = [mutated(base, rng.choice((0.01, 0.03, 0.05, 0.12))) for _ in range(700)]
+    texts = [" ".join(w) for w in [base, *firsts, *(mutated(rng.choice(firsts), 0.01) for _ in range(200))]]
+    rng.shuffle(texts)
+    want = sorted(set(least_of_classes(texts)))
+    extra = [(i, t, 0, "x", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(extra, "doc_id long, text string, node int, root string, key int")
+    kept = similar.keep_one_similar(docs)
+    got = sorted(r.doc_id for r in kept.collect())
+    assert kept.columns == docs.columns and len(want) > 100
+    # MinHash bands and values lose a pair in 20,000 or less
+    assert set(want) <= set(got) and len(got) - len(want) <= 1
