@@ -17,6 +17,7 @@ from tidemark.session import cut_lineage
 
 #: Fixed value: ASCII white space, 0x20 and 0x09 to 0x0D.
 SPACE = " \t\n\x0b\f\r"
+HOT = 1000  # lines that fill a share of one in so many of the rows are joined without moving those
 
 
 def lower_ascii(text: Column) -> Column:
@@ -59,8 +60,13 @@ def drop_shared_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", l
     keys = docs.select(F.col(id).alias("id"), mark.alias("mark"), F.posexplode(keys_of(content)).alias("position", "key"))
     long = keys.where(F.char_length("key") >= least_length)
     lines = cut_lineage(long.select("id", "mark", "position", F.unhex(F.md5("key")).alias("hash")))
-    shared = line_documents(lines).where(F.col("n_documents") >= least_documents).select("hash", "keeper")
-    gone = lines.join(shared, "hash").where(~F.col("id").eqNullSafe(F.col("keeper")))
+    shared = cut_lineage(line_documents(lines).where(F.col("n_documents") >= least_documents))
+    # the lines of a thousandth of all rows are a thousand hashes at most: they go to every task, so that
+    # their rows stay where they are; the others are joined by hash
+    often = F.col("n_documents") * HOT >= lines.count()
+    hot, others = F.broadcast(shared.where(often).select("hash", "keeper")), shared.where(~often).select("hash", "keeper")
+    met = lines.join(hot, "hash").unionByName(lines.join(hot.select("hash"), "hash", "left_anti").join(others, "hash"))
+    gone = met.where(~F.col("id").eqNullSafe(F.col("keeper")))
     positions = gone.groupBy("id", "mark").agg(F.collect_set("position").alias("positions"))
     key = F.struct("id", "mark")  # structs are equal if their nulls are
     positions = positions.select(key.alias("_of"), "positions")
