@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import broadcast_if_small, cut_lineage
 
 ACCURACY = 10_000  # the sketch's rank error is 1 / ACCURACY of the rows
 SMALL = 3 * ACCURACY  # below, a margin of 2 / ACCURACY of the rows may be less than the two ranks between which one interpolates
@@ -69,6 +69,8 @@ def percentiles(
     known = df.select(*keys, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     brackets = _brackets(known, keys, sorted(set(probabilities)))
     if keys:
+        # written first, so that a table of few keys is known to be small and the rows are not dealt by key
+        brackets = broadcast_if_small(cut_lineage(brackets))
         same = [F.col(f"x.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
         joined = known.alias("x").join(brackets.alias("b"), same).select("x.*", "total", "brackets")
     else:
