@@ -19,3 +19,61 @@ def test_rows_are_not_dealt_by_key_for_percentiles(spark, monkeypatch):
     df = spark.createDataFrame([("a", float(i)) for i in range(9)] + [(None, 1.0), (None, 2.0)], "k string, v double")
     assert rows(quantiles.percentiles(df, "v", [0.5], ["k"])) == [("a", [4.0]), (None, [1.5])]
     assert "BroadcastHashJoin" in plans[1] and "SortMergeJoin" not in plans[1]
+
+
+def test_distances_to_landmarks_leave_a_task_in_parts(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from tidemark.operators import dtw
+
+    sizes = []
+
+    def noted(a, b, radius):
+        sizes.append(len(a))
+        return np.sqrt(((a - b) ** 2).sum(axis=1))
+
+    monkeypatch.setattr(dtw, "dtw_rows", noted)
+    monkeypatch.setattr(dtw, "DISTANCES_AT_ONCE", 20)
+
+    class Source:
+        """Hands one batch of 30 rows to the function that measures them."""
+
+        schema = ()
+
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, _):
+            return list(run(iter([pd.DataFrame({"seq_id": range(30), "values": [np.array([float(i)]) for i in range(30)]})])))
+
+    parts = dtw.distances_to_landmarks(Source(), [(0, [0.0]), (1, [1.0])], 0)
+    assert max(sizes) == 10 and [len(p) for p in parts] == [10, 10, 10]
+    assert [d.tolist() for p in parts for d in p["distances"]] == [[float(i), abs(i - 1.0)] for i in range(30)]
+
+
+def test_repeats_are_handed_to_python_by_group_of_keys(spark, tmp_path, monkeypatch):
+    """Fewer groups than keys; keys beside null and above 2^53, and rows without an id."""
+    from datetime import datetime, timedelta
+
+    from tidemark.streaming import jobs
+
+    monkeypatch.setattr(jobs, "BUCKETS", 2, raising=False)
+    start, big = datetime(2024, 1, 1), (1 << 60) + 1
+    data = [(big + i % 20 if i % 7 else None, i, start + timedelta(hours=i)) for i in range(120)]
+    data += [(1, None, start), (1, 5, start), (1, 6, start + timedelta(hours=1))]
+    schema = "k long, id long, ts timestamp_ntz"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = jobs.message_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    found = jobs.repeats(stream, "ts", "id", ["k"])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "pmod(xxhash64(_k0" in plan
+    jobs.finish(jobs.append_stream(found, str(tmp_path / "out"), str(tmp_path / "c")), 240)
+    want, firsts = [], {}
+    for k, i, ts in sorted(data, key=lambda r: (r[2], r[1] is None, r[1] or 0)):
+        if k not in firsts or ts > firsts[k][1] + timedelta(days=1):
+            firsts[k] = i, ts
+        else:
+            want.append((k, i, ts, *firsts[k]))
+    got = rows(spark.read.schema(found.schema).parquet(str(tmp_path / "out")), "k", "id", "ts", "first_id", "first_ts")
+    assert len(want) > 40 and got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))

@@ -206,48 +206,85 @@ def first_arrivals(messages: DataFrame, ts: str, keys: Sequence[str], late: str
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("event_time")
 
 
+BUCKETS = 4_096  # groups of keys; a call and a state for each key would cost more than its rows
+
+
+def _in_python(column: str, kind: str) -> Column:
+    """A key as it can go to Python beside nulls: whole and floating-point numbers as texts, which are exact."""
+    if kind in ("float", "double"):
+        return (F.col(column) + F.lit(0.0)).cast("string")  # 0 and -0 are one key
+    return F.col(column).cast("string") if kind in ("tinyint", "smallint", "int", "bigint") else F.col(column)
+
+
 def repeats(messages: DataFrame, ts: str, id: str, keys: Sequence[str], late: timedelta = timedelta(days=1)) -> DataFrame:
     """(keys, id, ts, first_id, first_ts): every row whose key came up to ``late`` before, with the key's first arrival.
 
     A key's first row is kept in state until the watermark, ``late`` behind the newest row, has passed it by
     ``late``; then a timer removes it. A row that comes later than that is a first one again. Rows of one batch are taken in the order of ``ts``
     and ``id``; batches in the order they come, so that a row that is older but comes in a later batch is a repeat. Null
-    times are not rows of any day and are left out. The rows of one key in one batch meet in a task.
+    times are not rows of any day and are left out. Keys are dealt by hash to ``BUCKETS`` groups, whose rows of one batch meet in a task.
     """
-    names = list(keys)
-    timed = messages.where(F.col(ts).isNotNull()).select(*names, F.col(id).alias("_id"), F.col(ts).cast("timestamp").alias("_ts"))
+    names, slots = list(keys), [f"_k{n}" for n in range(len(keys))]
+    types = [messages.schema[k].dataType.simpleString() for k in names]
     id_kind, ts_kind = (messages.schema[c].dataType.simpleString() for c in (id, ts))
-    kinds = "".join(f"`{k}` {messages.schema[k].dataType.simpleString()}, " for k in names)
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+    whole = id_kind in ("tinyint", "smallint", "int", "bigint")
+    sent = [_in_python(k, kind) for k, kind in zip(names, types)]
+    timed = messages.where(F.col(ts).isNotNull()).select(
+        *[c.alias(s) for c, s in zip(sent, slots)],
+        F.col(id).isNull().alias("_none"),
+        (F.coalesce(id, F.lit(0).cast(id_kind)) if whole else F.col(id)).alias("_id"),
+        F.col(ts).cast("timestamp").alias("_ts"),
+    )
+    timed = timed.withColumn("_bucket", F.pmod(F.xxhash64(*slots), F.lit(BUCKETS)))
+    passed = {s: timed.schema[s].dataType.simpleString() for s in slots}
+    span = late // timedelta(microseconds=1)
+
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # state: the parts of the keys, and id, lack of an id and time of each key's first row
+        *parts, first_ids, first_none, first_us = state.get if state.exists else [[] for _ in range(len(slots) + 3)]
+        firsts = dict(zip(zip(*parts), zip(first_ids, first_none, first_us)))
+        if not state.hasTimedOut:
+            rows = pd.concat(list(frames)).sort_values(["_ts", "_none", "_id"], kind="stable")
+            given = [[None if pd.isna(x) else x for x in rows[s].tolist()] for s in slots]
+            times = rows["_ts"].to_numpy().astype("datetime64[us]").astype("int64").tolist()
+            again, found = [], []
+            for at, (key, name, none, us) in enumerate(zip(zip(*given), rows["_id"].tolist(), rows["_none"].tolist(), times)):
+                first = firsts.get(key)
+                if first is None or us > first[2] + span:
+                    firsts[key] = name, none, us
+                else:
+                    again.append(at)
+                    found.append(first)
+            if again:
+                out = rows.iloc[again][[*slots, "_none", "_id", "_ts"]].reset_index(drop=True)
+                out["first_none"], out["first_id"] = [f[1] for f in found], [f[0] for f in found]
+                out["first_ts"] = pd.to_datetime([f[2] for f in found], unit="us")
+                yield out
+        passed_us = state.getCurrentWatermarkMs() * 1000
+        firsts = {key: first for key, first in firsts.items() if first[2] + span >= passed_us}
+        if not firsts:
+            if state.exists:
+                state.remove()
             return
-        rows = pd.concat(list(frames)).sort_values(["_ts", "_id"])
-        first_id, first = state.get if state.exists else (None, None)
-        first = pd.Timestamp(first, unit="us") if state.exists else None
-        while len(rows):
-            if first is None or rows["_ts"].iloc[-1] > first + late:
-                again = rows.iloc[:0] if first is None else rows[rows["_ts"] <= first + late]
-                rows = rows.iloc[len(again) :]
-                start, rows = rows.iloc[0], rows.iloc[1:]
-            else:
-                again, rows, start = rows, rows.iloc[:0], None
-            if len(again):
-                yield pd.DataFrame({**dict(zip(names, key)), "_id": again["_id"], "_ts": again["_ts"], "first_id": first_id, "first_ts": first})
-            if start is not None:
-                first_id, first = start["_id"], start["_ts"]
-        state.update((first_id, first.value // 1000))
-        end = int((first + late).value // 1_000_000)
+        columns = [list(c) for c in zip(*firsts)] + [list(c) for c in zip(*firsts.values())]
+        state.update(tuple(columns))
+        end = (min(first[2] for first in firsts.values()) + span) // 1000
         state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
 
-    grouped = timed.withWatermark("_ts", f"{int(late.total_seconds())} seconds").groupBy(*names)
+    kinds = "".join(f"{s} {kind}, " for s, kind in passed.items())
+    lists = "".join(f"{s} array<{kind}>, " for s, kind in passed.items())
+    grouped = timed.withWatermark("_ts", f"{int(late.total_seconds())} seconds").groupBy("_bucket")
     found = grouped.applyInPandasWithState(
         step,
-        f"{kinds}_id {id_kind}, _ts timestamp, first_id {id_kind}, first_ts timestamp",
-        f"first_id {id_kind}, first_us long",
+        f"{kinds}_none boolean, _id {id_kind}, _ts timestamp, first_none boolean, first_id {id_kind}, first_ts timestamp",
+        f"{lists}first_id array<{id_kind}>, first_none array<boolean>, first_us array<long>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
     return found.select(
-        *names, F.col("_id").alias(id), F.col("_ts").cast(ts_kind).alias(ts), "first_id", F.col("first_ts").cast(ts_kind).alias("first_ts")
+        *[F.col(s).cast(kind).alias(k) for k, s, kind in zip(names, slots, types)],
+        F.when(~F.col("_none"), F.col("_id")).alias(id),
+        F.col("_ts").cast(ts_kind).alias(ts),
+        F.when(~F.col("first_none"), F.col("first_id")).alias("first_id"),
+        F.col("first_ts").cast(ts_kind).alias("first_ts"),
     )
