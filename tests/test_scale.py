@@ -48,7 +48,7 @@ def test_distances_to_landmarks_leave_a_task_in_parts(spark, monkeypatch):
             return list(run(iter([pd.DataFrame({"seq_id": range(30), "values": [np.array([float(i)]) for i in range(30)]})])))
 
     parts = dtw.distances_to_landmarks(Source(), [(0, [0.0]), (1, [1.0])], 0)
-    assert max(sizes) == 10 and [len(p) for p in parts] == [10, 10, 10]
+    assert max(sizes) == 20 and [len(p) for p in parts] == [10, 10, 10]
     assert [d.tolist() for p in parts for d in p["distances"]] == [[float(i), abs(i - 1.0)] for i in range(30)]
 
 
@@ -77,3 +77,30 @@ def test_repeats_are_handed_to_python_by_group_of_keys(spark, tmp_path, monkeypa
             want.append((k, i, ts, *firsts[k]))
     got = rows(spark.read.schema(found.schema).parquet(str(tmp_path / "out")), "k", "id", "ts", "first_id", "first_ts")
     assert len(want) > 40 and got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_pairs_too_far_are_not_measured_in_double_precision(monkeypatch):
+    """Cheap tests leave out most pairs and lose none, at the limit, with warping and without, and for large numbers."""
+    import numpy as np
+
+    from tidemark.operators import kernels
+
+    rng, measure, doubles = np.random.default_rng(5), kernels.dtw_rows, []
+
+    def noted(a, b, radius):
+        doubles.append(len(a) if a.dtype == np.float64 else 0)
+        return measure(a, b, radius)
+
+    monkeypatch.setattr(kernels, "dtw_rows", noted)
+    for radius, lengths, scale in [(0, (31, 31), 1.0), (3, (31, 31), 1.0), (3, (28, 31), 1.0), (0, (28, 31), 1.0), (0, (31, 31), 1e9), (3, (31, 31), 1e9), (3, (9, 9), 1e200)]:
+        a, b = (scale * (1e4 + np.round(rng.gamma(1.0, 10.0, (60, n)), 2)) for n in lengths)
+        i, j = (g.ravel() for g in np.indices((60, 60)))
+        with np.errstate(over="ignore"):
+            every = measure(a[i], b[j], radius).reshape(60, 60)
+            limits = np.sort(every, axis=1)[:, 3]  # equal to a distance
+            doubles.clear()
+            found = [(p, q, d) for *pq, ds in kernels.close_pairs(a, b, limits, radius) for p, q, d in zip(*pq, ds)]
+        assert {(p, q) for p, q, _ in found} == set(zip(*np.nonzero(every <= limits[:, None])))
+        assert all(d == every[p, q] for p, q, d in found)
+        if scale < 1e15:
+            assert sum(doubles) < 400
