@@ -104,3 +104,38 @@ def test_pairs_too_far_are_not_measured_in_double_precision(monkeypatch):
         assert all(d == every[p, q] for p, q, d in found)
         if scale < 1e15:
             assert sum(doubles) < 400
+
+
+def test_spectral_clusters_keep_pairs_in_their_table(spark, monkeypatch):
+    """The power iteration equals one on the whole matrix; neither rows of pairs nor a graph in memory are asked for."""
+    import numpy as np
+
+    from tidemark.operators import clustering, dtw
+    from tidemark.operators import near as near_
+
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(clustering, "BLOCKS_AT_ONCE", 2)
+    rng = np.random.default_rng(3)
+    centres = np.repeat([0.0, 30.0], 30)[:, None]
+    values = np.vstack([np.round(centres + rng.normal(size=(60, 5)), 3), [[500.0] * 5]])
+    copies = [1 + i % 3 for i in range(61)]
+    nodes = spark.createDataFrame(
+        [(i, v.tolist(), c) for i, (v, c) in enumerate(zip(values, copies))] + [(None, [0.0] * 5, 1)], "seq_id long, values array<double>, copies long"
+    )
+    pairs, blocks = dtw.pairs_in_blocks(nodes, 80.0, 1)
+    flat = {}
+    ids = {b.block: b.seq_id for b in blocks.collect()}
+    for row in pairs.collect():
+        for p, q, d in zip(*near_.unpacked(row)):
+            flat[tuple(sorted((ids[row.a][p], ids[row.b][q])))] = d
+    assert flat == {(r.i, r.j): r.dist for r in dtw.pairs_within(nodes.where("seq_id IS NOT NULL"), 80.0, 1).collect()}
+    weights, width = np.zeros((61, 61)), np.mean(list(flat.values()))
+    for (i, j), d in flat.items():
+        weights[i, j] = weights[j, i] = np.exp(-((d / width) ** 2)) * copies[i] * copies[j]
+    held = blocks.selectExpr("block", "copies", "transform(seq_id, x -> cast(x + 1 as double)) AS v")
+    got = {(r.block, r.place): r.x for r in clustering._times(pairs, held, width).collect()}
+    want = weights @ np.arange(1.0, 62.0)
+    np.testing.assert_allclose([got.get((b, p), 0.0) for b, at in ids.items() for p in range(len(at))], [want[i] for at in ids.values() for i in at])
+    found = dict(rows(clustering.affinity_of_blocks(pairs, blocks, 2)))
+    assert found[60] == -1 and None not in found
+    assert len({found[i] for i in range(30)}) == len({found[i] for i in range(30, 60)}) == 1 and found[0] != found[30]
