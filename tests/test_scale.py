@@ -139,3 +139,49 @@ def test_spectral_clusters_keep_pairs_in_their_table(spark, monkeypatch):
     found = dict(rows(clustering.affinity_of_blocks(pairs, blocks, 2)))
     assert found[60] == -1 and None not in found
     assert len({found[i] for i in range(30)}) == len({found[i] for i in range(30, 60)}) == 1 and found[0] != found[30]
+
+
+def test_rows_without_an_allowed_partner_are_not_compared(monkeypatch):
+    import numpy as np
+
+    from tidemark.operators import kernels
+
+    rng = np.random.default_rng(8)
+    a, b = rng.gamma(1.0, 50.0, (20, 9)), rng.gamma(1.0, 50.0, (30, 9))
+    allowed, bounds, sizes = np.zeros((20, 30), bool), kernels.lower_bounds, []
+    allowed[3, [4, 9]] = allowed[17, 4] = True
+    monkeypatch.setattr(kernels, "lower_bounds", lambda x, y, r: sizes.append((len(x), len(y))) or bounds(x, y, r))
+    found = [(i, j, d) for part in kernels.close_pairs(a, b, np.full(20, 1e6), 2, allowed) for i, j, d in zip(*part)]
+    assert [(i, j) for i, j, _ in found] == [(3, 4), (3, 9), (17, 4)] and sizes == [(2, 2)]
+    assert [d for *_, d in found] == kernels.dtw_rows(a[[3, 3, 17]], b[[4, 9, 4]], 2).tolist()
+    assert list(kernels.close_pairs(a, b, np.full(20, 1e6), 2, np.zeros((20, 30), bool))) == []
+
+
+def test_blocks_of_one_cluster_are_not_compared_again(spark, monkeypatch):
+    """Labels are the same when most pairs of blocks are linked after a first share, and fewer links are looked for."""
+    import numpy as np
+
+    from tidemark.operators import density, dtw
+    from tidemark.operators import near as near_
+
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(density, "EARLY_SHARE", 3)
+    rng = np.random.default_rng(4)
+    values = np.round(np.concatenate([rng.uniform(0, 1, 110), rng.uniform(3, 4, 30), rng.uniform(8, 9, 4), [20.0]]), 4)
+    nodes = dtw.distinct_sequences(spark.createDataFrame([(i, [float(v)]) for i, v in enumerate(values)], "id long, v array<double>"), "id", "v")
+    asked, fetched = {}, near_.Blocks.fetched
+    for most in (1000, 4):
+        monkeypatch.setattr(density, "EARLY_BLOCKS", most)
+        counts = asked[most] = []
+
+        def noted(self, pairs, both, *columns, rows=None):
+            if "part" in columns:
+                counts.append(pairs.count())
+            return fetched(self, pairs, both, *columns, rows=rows)
+
+        monkeypatch.setattr(near_.Blocks, "fetched", noted)
+        got = rows(density.dbscan(nodes, 0.9, 5, 0))
+        if most == 1000:
+            want = got
+    assert got == want and len({label for _, label, _ in got}) >= 3
+    assert len(asked[4]) == 2 and sum(asked[4]) < sum(asked[1000])

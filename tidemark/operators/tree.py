@@ -40,6 +40,8 @@ class _Outgoing:
         others, cores, parts = np.asarray(ids), np.asarray(cores, dtype=float), np.asarray(parts)
         reach = np.maximum(self.cores[:, None], cores[None, :])
         allowed = (self.parts[:, None] != parts[None, :]) & (reach <= self.limits[:, None])
+        if not allowed.any():
+            return
         for i, j, d in block_close_pairs(self.own, stacked(values), self.limits, self.radius, allowed):
             w = np.maximum(d, reach[i, j])
             order = np.argsort(w, kind="stable")
