@@ -129,6 +129,7 @@ def test_spectral_clusters_keep_pairs_in_their_table(spark, monkeypatch):
         for p, q, d in zip(*near_.unpacked(row)):
             flat[tuple(sorted((ids[row.a][p], ids[row.b][q])))] = d
     assert flat == {(r.i, r.j): r.dist for r in dtw.pairs_within(nodes.where("seq_id IS NOT NULL"), 80.0, 1).collect()}
+    assert rows(dtw.pairs_of_blocks(pairs, blocks, 4.0)) == rows(dtw.pairs_within(nodes.where("seq_id IS NOT NULL"), 4.0, 1))
     weights, width = np.zeros((61, 61)), np.mean(list(flat.values()))
     for (i, j), d in flat.items():
         weights[i, j] = weights[j, i] = np.exp(-((d / width) ** 2)) * copies[i] * copies[j]
