@@ -186,3 +186,88 @@ def test_blocks_of_one_cluster_are_not_compared_again(spark, monkeypatch):
             want = got
     assert got == want and len({label for _, label, _ in got}) >= 3
     assert len(asked[4]) == 2 and sum(asked[4]) < sum(asked[1000])
+
+
+def test_a_density_cut_hands_on_few_links(spark, monkeypatch):
+    """Links between nodes that are joined already are dropped where they are found; labels stay."""
+    import numpy as np
+
+    from tidemark.operators import clustering, components, dtw
+    from tidemark.operators import near as near_
+
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 8)
+    rng = np.random.default_rng(5)
+    values = np.round(np.concatenate([rng.uniform(0, 1, 150), rng.uniform(9, 10, 60), [30.0, 30.1, 50.0]]), 4).tolist()
+    nodes = dtw.distinct_sequences(spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, v array<double>"), "id", "v").cache()
+    handed, joined = [], clustering.connected_components
+
+    def noted(edges):
+        handed.append(edges.count())
+        return joined(edges)
+
+    monkeypatch.setattr(clustering, "connected_components", noted)
+    nearest, pairs = dtw.nearest_sequences(nodes, 2, 0), dtw.pairs_within(nodes, 2.0, 0)
+    got = {r.seq_id: r.label for r in clustering.density_cut(nodes, pairs, nearest, 2.0, 3).collect()}
+    assert pairs.count() > 12_000 and handed[0] <= components.FORESTS * 212
+    assert {got[i] for i, v in enumerate(values) if v < 1 and i in got} == {0}
+    assert {got[i] for i, v in enumerate(values) if 9 <= v <= 10 and i in got} == {150} and [got[i] for i in (210, 211, 212)] == [-1] * 3
+
+
+def test_a_forest_joins_what_its_links_join():
+    import numpy as np
+
+    from tidemark.operators.components import _Forest
+
+    rng = np.random.default_rng(7)
+    for kind, n, m in ((int, 400, 350), (str, 60, 90), (int, 30, 3000)):
+        i, j = (rng.integers(0, n, m).astype(kind).astype(object if kind is str else int) for _ in "ij")
+        forest, kept = _Forest(), []
+        for part in range(0, m, 40):
+            at = slice(part, part + 40)
+            kept += (forest.join(i[at], j[at]) + part).tolist()
+
+        def groups(links):
+            of = {x: x for x in [*i, *j]}
+            for a, b in links:
+                a, b = of[a], of[b]
+                of = {x: a if y == b else y for x, y in of.items()}
+            return {frozenset(x for x in of if of[x] == y) for y in of.values()}
+
+        every = groups(zip(i, j))
+        assert groups([(i[p], j[p]) for p in kept]) == every and len(kept) == len({*i, *j}) - len(every)
+
+
+def test_blocks_are_sent_by_tiles(spark, monkeypatch):
+    """A tile goes out once for all its pairs of blocks with another; pairs and neighbours are those of the definition."""
+    import numpy as np
+
+    from tidemark.operators import dtw
+    from tidemark.operators import near as near_
+
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(near_, "TILES", 4)
+    sent, formed, by_block = [], [], []
+    for name, into in (("dealt", sent), ("streamed", sent)):
+        way = getattr(near_.Blocks, name)
+
+        def noted(self, pairs, way=way, into=into):
+            out = way(self, pairs)
+            formed.append(pairs.count())
+            into.append(out.count())
+            return out
+
+        monkeypatch.setattr(near_.Blocks, name, noted)
+    fetched = near_.Blocks.fetched
+    monkeypatch.setattr(near_.Blocks, "fetched", lambda self, *a, **k: by_block.append(1) or fetched(self, *a, **k))
+    rng = np.random.default_rng(11)
+    for lengths in ((9, 9), (8, 9)):
+        arrays = [np.round(rng.gamma(1.0, 30.0, lengths[i % 2]), 2) for i in range(150)]
+        nodes = dtw.distinct_sequences(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(arrays)], "id long, v array<double>").repartition(3), "id", "v")
+        for radius in (0, 2):
+            every = np.array([[dtw.dtw_rows(a[None], b[None], radius)[0] for b in arrays] for a in arrays])
+            found = {(r.i, r.j): r.dist for r in dtw.pairs_within(nodes, 60.0, radius).collect()}
+            assert found == {(i, j): every[i, j] for i in range(150) for j in range(i + 1, 150) if every[i, j] <= 60.0} and len(found) > 50
+            got = rows(dtw.nearest_sequences(nodes, 3, radius))
+            want = [(i, j, every[i, j], p + 1) for i in range(150) for p, j in enumerate(sorted((j for j in range(150) if j != i), key=lambda j: (every[i, j], j))[:3])]
+            assert sorted(map(tuple, got)) == sorted(want)
+    assert not by_block and all(n < m / 2 for n, m in zip(sent, formed))
