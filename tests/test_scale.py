@@ -271,3 +271,26 @@ def test_blocks_are_sent_by_tiles(spark, monkeypatch):
             want = [(i, j, every[i, j], p + 1) for i in range(150) for p, j in enumerate(sorted((j for j in range(150) if j != i), key=lambda j: (every[i, j], j))[:3])]
             assert sorted(map(tuple, got)) == sorted(want)
     assert not by_block and all(n < m / 2 for n, m in zip(sent, formed))
+
+
+def test_pairs_with_warping_are_given_up_in_stages(monkeypatch):
+    """Of many pairs only those that are near, or almost, are measured to the end; pairs and distances are those of the definition."""
+    import numpy as np
+
+    from tidemark.operators import kernels
+
+    rng, measure, sizes = np.random.default_rng(6), kernels.dtw_rows, []
+    monkeypatch.setattr(kernels, "dtw_rows", lambda a, b, r: sizes.append(len(a)) or measure(a, b, r))
+    for n, m in ((31, 31), (28, 31), (31, 28), (40, 9)):
+        a, b = np.round(rng.gamma(1.0, 50.0, (90, n)), 2), np.round(rng.gamma(1.0, 50.0, (70, m)), 2)
+        i, j = (g.ravel() for g in np.indices((90, 70)))
+        every = measure(a[i], b[j], 3).reshape(90, 70)
+        limits = np.sort(every, axis=1)[:, 2]
+        limits[5], limits[6] = np.inf, 0.0
+        for some in (None, rng.random((90, 70)) < 0.7):
+            sizes.clear()
+            found = [(p, q, d) for part in kernels.close_pairs(a, b, limits, 3, some) for p, q, d in zip(*part)]
+            near = every <= limits[:, None]
+            want = set(zip(*np.nonzero(near if some is None else near & some)))
+            assert {(p, q) for p, q, _ in found} == want and len(found) == len(want) and all(d == every[p, q] for p, q, d in found)
+            assert sum(sizes) <= len(want) + 5
