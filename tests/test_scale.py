@@ -294,3 +294,48 @@ def test_pairs_with_warping_are_given_up_in_stages(monkeypatch):
             want = set(zip(*np.nonzero(near if some is None else near & some)))
             assert {(p, q) for p, q, _ in found} == want and len(found) == len(want) and all(d == every[p, q] for p, q, d in found)
             assert sum(sizes) <= len(want) + 5
+
+
+def test_clusters_and_scores_fetch_blocks_by_tiles(spark, monkeypatch):
+    """The tree, density clusters and scores send a tile once for all its pairs of blocks with another."""
+    import numpy as np
+
+    from tidemark.operators import clustering, density, dtw, tree
+    from tidemark.operators import near as near_
+
+    monkeypatch.setattr(near_, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(near_, "TILES", 4)
+    monkeypatch.setattr(density, "EARLY_BLOCKS", 10**6)
+    sent, formed, fetched = [], [], near_.Blocks.fetched
+
+    def noted(self, pairs, both, *columns, rows=None):
+        out = fetched(self, pairs, both, *columns, rows=rows)
+        formed.append(pairs.count())
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_.Blocks, "fetched", noted)
+    rng = np.random.default_rng(12)
+    arrays = [np.round(rng.gamma(1.0, 30.0, 7), 2) for _ in range(150)]
+    nodes = dtw.distinct_sequences(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(arrays)], "id long, v array<double>").repartition(3), "id", "v").cache()
+    every = np.array([[dtw.dtw_rows(a[None], b[None], 1)[0] for b in arrays] for a in arrays])
+    limit = float(np.sort(every, axis=1)[:, 4].mean())
+    cores = {r.seq_id: r.is_core for r in clustering.dbscan(nodes, limit, 5, 1).collect()}
+    assert [cores[i] for i in range(150)] == ((every <= limit).sum(axis=1) >= 5).tolist() and len({*cores.values()}) == 2
+    labels = nodes.selectExpr("seq_id", "seq_id % 3 AS label")
+    score = clustering.warping_silhouettes(nodes, {"thirds": labels}, 1).first().silhouette
+    means = np.array([[every[i, [j for j in range(150) if j % 3 == c and j != i]].mean() for c in range(3)] for i in range(150)])
+    own, other = means[range(150), np.arange(150) % 3], np.array([min(np.delete(m, i % 3)) for i, m in enumerate(means)])
+    np.testing.assert_allclose(score, ((other - own) / np.maximum(own, other)).mean())
+    nearest = dtw.nearest_sequences(nodes, 2, 1).cache()
+    core = clustering.core_distances(nodes, nearest)
+    edges = tree.spanning_tree(nodes, core, nearest.select("i", "j", "dist"), 1).collect()
+    kth = np.sort(every, axis=1)[:, 2]
+    reach, left, total = np.maximum(np.maximum(every, kth[:, None]), kth[None, :]), {*range(1, 150)}, 0.0
+    while left:  # grown from one end
+        w, j = min((reach[i, j], j) for j in left for i in range(150) if i not in left)
+        left.remove(j)
+        total += w
+    assert len(edges) == 149
+    np.testing.assert_allclose(sum(e.w for e in edges), total)
+    assert len(sent) >= 6 and all(n < m / 2 for n, m in zip(sent, formed) if m > 500) and max(formed) > 500

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.components import connected_components
-from tidemark.operators.near import Blocks, block_close_pairs, stacked
+from tidemark.operators.near import Blocks, Tile, block_close_pairs, in_turn, plain_ids
 from tidemark.session import cut_lineage
 
 LEAST = 1e-6  # smaller distances count as this one, so that copies have a finite density
@@ -27,35 +27,71 @@ LEAST = 1e-6  # smaller distances count as this one, so that copies have a finit
 # ---- spanning tree -----------------------------------------------------------------------
 
 
+class _Side:
+    """Ids, cores and parts of the rows of a tile, all blocks one after the other."""
+
+    def __init__(self, tile: Tile):
+        self.tile, self.place = tile, tile.places()
+        self.ids, self.parts = (plain_ids(np.concatenate([plain_ids(m[c]) for m in tile.of.values()])) for c in ("seq_id", "part"))
+        self.cores, self.limits = (np.concatenate([np.asarray(m[c], dtype=float) for m in tile.of.values()]) for c in ("core", "limit"))
+
+    def rows(self, blocks: tuple) -> np.ndarray:
+        return np.concatenate([self.place[block] for block in blocks])
+
+
 class _Outgoing:
-    """Least outgoing edges of the components in one block, fed with other blocks, nearest first."""
-
-    def __init__(self, ids, values, cores, parts, limits, radius: int):
-        self.ids, self.own, self.radius = np.asarray(ids), stacked(values), radius
-        self.cores, self.parts = np.asarray(cores, dtype=float), np.asarray(parts)
-        self.limits = np.array(limits, dtype=float)  # of each row's component, shrinking
-        self.best: dict = {}
-
-    def meet(self, ids, values, cores, parts) -> None:
-        others, cores, parts = np.asarray(ids), np.asarray(cores, dtype=float), np.asarray(parts)
-        reach = np.maximum(self.cores[:, None], cores[None, :])
-        allowed = (self.parts[:, None] != parts[None, :]) & (reach <= self.limits[:, None])
+    """Least outgoing edges of the components in one tile, fed with other tiles, nearest first."""
+
+    def __init__(self, tile: Tile, radius: int):
+        self.own, self.radius = _Side(tile), radius
+        self.limits = self.own.limits.copy()  # of each row's component, shrinking
+        self.names, self.of = np.unique(self.own.parts, return_inverse=True)
+        self.least = np.full(len(self.names), np.inf)
+        self.lo, self.hi, self.other = (np.empty(len(self.names), self.own.ids.dtype) for _ in range(3))
+        self.known = np.zeros(len(self.names), bool)
+
+    def meet(self, a: np.ndarray, b: np.ndarray, bound: np.ndarray, other: Tile) -> None:
+        """Pairs of an own block a[p] and a block b[p] of the other tile, at least bound[p] apart."""
+        side = self.own if other is self.own.tile else _Side(other)
+        apart = a != b
+        for block in a[~apart]:
+            self._measure((block,), (block,), side)
+        order = np.argsort(bound, kind="stable")
+        order = order[apart[order]]
+        least = {(a[p], b[p]): bound[p] for p in order}
+        for some, others in in_turn(a[order], b[order]):
+            limit = self.limits[self.own.place[some[0]]].max()
+            left = tuple(block for block in others if least[some[0], block] <= limit)
+            if left:
+                self._measure(some, left, side)
+
+    def _measure(self, some: tuple, others: tuple, side: _Side) -> None:
+        rows, cols = self.own.rows(some), side.rows(others)
+        reach = np.maximum(self.own.cores[rows][:, None], side.cores[cols][None, :])
+        allowed = (self.own.parts[rows][:, None] != side.parts[cols][None, :]) & (reach <= self.limits[rows][:, None])
         if not allowed.any():
             return
-        for i, j, d in block_close_pairs(self.own, stacked(values), self.limits, self.radius, allowed):
-            w = np.maximum(d, reach[i, j])
-            order = np.argsort(w, kind="stable")
-            for p, q, x in zip(i[order].tolist(), j[order].tolist(), w[order].tolist()):
-                part = self.parts[p]
-                if part in self.best and x > self.best[part][0]:
-                    continue
-                lo, hi = sorted((self.ids[p], others[q]))
-                other = parts[q]
-                if part not in self.best or (x, lo, hi) < self.best[part][:3]:
-                    self.best[part] = (x, lo, hi, other)
-        for part, edge in self.best.items():
-            mine = self.parts == part
-            self.limits[mine] = np.minimum(self.limits[mine], edge[0])
+        own, theirs = self.own.tile.joined(some)[1], side.tile.joined(others)[1]
+        for i, j, d in block_close_pairs(own, theirs, self.limits[rows], self.radius, allowed):
+            self._add(rows[i], cols[j], np.maximum(d, reach[i, j]), side)
+
+    def _add(self, p: np.ndarray, q: np.ndarray, w: np.ndarray, side: _Side) -> None:
+        """Take the least edge of each component, of equal ones that of the smaller ids."""
+        of, least = self.of[p], self.least.copy()
+        np.minimum.at(least, of, w)
+        some = np.flatnonzero(w == least[of])
+        p, q, w, of = p[some], q[some], w[some], of[some]
+        ends = self.own.ids[p], side.ids[q]
+        swapped = np.asarray(ends[0] > ends[1], dtype=bool)
+        lo, hi = np.where(swapped, ends[1], ends[0]), np.where(swapped, ends[0], ends[1])
+        for at, x, low, high, part in zip(of.tolist(), w.tolist(), lo.tolist(), hi.tolist(), side.parts[q].tolist()):
+            if not self.known[at] or (x, low, high) < (self.least[at], self.lo[at], self.hi[at]):
+                self.known[at], self.least[at], self.lo[at], self.hi[at], self.other[at] = True, x, low, high, part
+        np.minimum(self.limits, self.least[self.of], out=self.limits)
+
+    def rows(self) -> pd.DataFrame:
+        known = np.flatnonzero(self.known)
+        return pd.DataFrame({"part": self.names[known], "w": self.least[known], "lo": self.lo[known], "hi": self.hi[known], "other": self.other[known]})
 
 
 def _upper_bounds(parts: DataFrame, near: DataFrame) -> DataFrame:
@@ -93,28 +129,20 @@ def spanning_tree(sequences: DataFrame, cores: DataFrame, near: DataFrame, radiu
         held = placed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "part", "limit"))).alias("p"))
         blocks.rows = cut_lineage(base.join(held, "block").select(base["*"], F.col("p.part").alias("part"), F.col("p.limit").alias("limit")))
         pairs = blocks.pairs(F.array_max("limit") * (1 + 1e-12), symmetric=False)
-        fetched = blocks.fetched(pairs, False, "seq_id", "values", "core", "part", "limit")
-        tasks = int(fetched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        order = [F.col("a"), F.col("a") != F.col("b"), F.col("bound")]
-        streamed = fetched.repartition(tasks, "a").sortWithinPartitions(*order)
+        streamed = blocks.fetched(pairs, False, "core", "part", "limit")
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at, search = None, None
-
-            def found() -> pd.DataFrame:
-                data = [(part, x, lo, hi, other) for part, (x, lo, hi, other) in search.best.items()]
-                return pd.DataFrame(data, columns=["part", "w", "lo", "hi", "other"])
-
             for batch in batches:
                 for row in batch.itertuples(index=False):
-                    if row.a != at:
+                    if row.tile_a != at:
                         if search is not None:
-                            yield found()
-                        at, search = row.a, _Outgoing(row.b_seq_id, row.b_values, row.b_core, row.b_part, row.b_limit, radius)
-                    if row.bound <= search.limits.max():
-                        search.meet(row.b_seq_id, row.b_values, row.b_core, row.b_part)
+                            yield search.rows()
+                        at, search = row.tile_a, _Outgoing(Tile(row.members), radius)
+                    if row.least <= search.limits.max():
+                        search.meet(row.met_a, row.met_b, row.met_bound, search.own.tile if row.tile_b == at else Tile(row.members))
             if search is not None:
-                yield found()
+                yield search.rows()
 
         taken = streamed.mapInPandas(run, f"part {kind}, w double, lo {kind}, hi {kind}, other {kind}")
         least = cut_lineage(taken.groupBy("part").agg(F.min(F.struct("w", "lo", "hi", "other")).alias("e")).select("part", "e.*"))
